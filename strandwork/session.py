@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,7 +46,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder")
     named = tempfile.mkdtemp(prefix="strandwork-")
-    atexit.register(__import__("shutil").rmtree, named, True)
+    atexit.register(shutil.rmtree, named, True)
     spark.conf.set("spark.checkpoint.dir", named)
     return named
 
@@ -72,3 +75,21 @@ def discard(df: DataFrame) -> None:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Makes this package importable in the Python workers, once per application."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _shipped:
+        root = Path(__file__).resolve().parent
+        held = Path(tempfile.mkdtemp(prefix="strandwork-")) / "strandwork.zip"
+        with zipfile.ZipFile(held, "w") as z:
+            for p in sorted(root.rglob("*.py")):
+                z.write(p, p.relative_to(root.parent))
+        sc.addPyFile(str(held))
+        atexit.register(shutil.rmtree, held.parent, True)
+        _shipped.add(sc.applicationId)
+    return spark
