@@ -7,8 +7,12 @@ from pyspark.sql import functions as F
 
 from ..session import table
 from .canonical import build_dictionary, canonicalise, report
+from .mixing import Mixture
 from .neardup import NearDuplicates
+from .packing import fill_report, pack
+from .sentences import split_sentences, train
 from .survivorship import GOLDEN, cluster_survivors, golden_records, protein_survivors
+from .tokens import count_tokens
 
 
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -38,5 +42,30 @@ def p6_misses(spark: SparkSession, sf: str) -> DataFrame:
     return report(_canonical(spark, sf))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_golden, p5_found, p6_found, p6_misses)}
+def _sizes(spark: SparkSession, sf: str) -> DataFrame:
+    return count_tokens(table(spark, sf, "documents"), {"doc_id": F.col("doc_id"), "source": F.col("source")}, "text")
+
+
+def p8_containers(spark: SparkSession, sf: str) -> DataFrame:
+    return pack(_sizes(spark, sf))
+
+
+def p8_report(spark: SparkSession, sf: str) -> DataFrame:
+    return fill_report(pack(_sizes(spark, sf)))
+
+
+def p9_mixture(spark: SparkSession, sf: str) -> DataFrame:
+    return Mixture(_sizes(spark, sf), table(spark, sf, "mix_target")).mixed()
+
+
+def p9_report(spark: SparkSession, sf: str) -> DataFrame:
+    return Mixture(_sizes(spark, sf), table(spark, sf, "mix_target")).report()
+
+
+def p10_found(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    return split_sentences(docs, "doc_id", "text", train(docs))
+
+
+QUERIES = {f.__name__: f for f in (p3_found, p3_golden, p5_found, p6_found, p6_misses, p8_containers, p8_report, p9_mixture, p9_report, p10_found)}
 ORACLES: dict[str, str] = {}
