@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed value: what counts as an accession inside a header.
-ACCESSION = r"^([A-Z]{1,2}_?[0-9]{5,9}|[A-Z]{2}_[A-Z]{0,4}[0-9]{5,9})(\.[0-9]+)?$"
+ACCESSION = r"^[A-Z]{1,2}_?[0-9]{5,9}(\..*)?$"  # whatever follows a dot is the version
 
 
 def _part(parts: Column, i: int, least: int) -> Column:
