@@ -75,9 +75,10 @@ def resfinder_records(fasta: DataFrame, phenotypes: DataFrame, strict: bool = Fa
     keeps them, whereupon such headers find nothing.
     """
     key = F.col("header") if strict else F.rtrim("header")
-    last = last_wins(phenotypes.filter(F.col("Gene_accession no.") != ""), "Gene_accession no.", "line_no")
+    keyed = phenotypes.withColumnRenamed("Gene_accession no.", "__header")  # a dot in a name reads as a field
+    last = last_wins(keyed.filter("__header <> ''"), "__header", "line_no")
     rows = fasta.withColumn("h", resfinder_fields(F.col("header"), strict)).withColumn("__key", key)
-    out = rows.join(last, F.col("__key") == F.col("Gene_accession no."), "left")
+    out = rows.join(last, F.col("__key") == F.col("__header"), "left")
     return _shaped(out.select(
         *[rows[c] for c in ("source", "source_rank", "file", "record_no", "header", "sequence")], F.col("h.source_acc").alias("source_acc"),
         F.col("h.gene_name").alias("gene_name"), F.col("h.allele").alias("allele"), F.col("h.source_acc").alias("genbank_nucleotide"),
