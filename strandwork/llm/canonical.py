@@ -5,8 +5,8 @@ and looked up there; candidates are ranked by weighted Damerau–Levenshtein
 distance and by how often the reference names an entry. No shuffle.
 
 The dictionary's size follows the list, not the data. ``MAX_NAMES`` bounds what
-is broadcast; a longer list is cut into parts of that size and every part is
-looked up in its own pass over the distinct values (``canonicalise_large``).
+is broadcast; a longer list is refused, as a list of names that is not bounded
+is no list to map free entries to.
 """
 
 from __future__ import annotations
@@ -112,6 +112,7 @@ class Dictionary:
     short: dict[str, set[str]] = field(default_factory=lambda: defaultdict(set))
     near: dict[str, set[str]] = field(default_factory=lambda: defaultdict(set))
     weight: dict[str, int] = field(default_factory=dict)
+    longest: int = 0
 
     def add(self, canonical: str, name: str | None, short: bool = False) -> None:
         if not name or not name.strip() or name.strip().lower() in NO_VALUE:
@@ -126,6 +127,7 @@ class Dictionary:
         self.exact[" ".join(parts)].add(canonical)
         stem = plain(" ".join(p for p in parts if p not in KINDS)) or " ".join(parts)
         self.stems[stem].add(canonical)
+        self.longest = max(self.longest, len(stem))
         for d in deletes(stem, self.edits):
             self.near[d].add(stem)
 
@@ -158,7 +160,7 @@ class Dictionary:
             if len(found) == 1:
                 return found.pop()
         most = self._limit(stem)
-        if not most:
+        if not most or len(stem) > self.longest + most:  # too long for any name, however it is edited
             return UNMATCHED
         pool = set().union(*[self.near.get(d, set()) for d in deletes(stem, int(most))])
         ranked = sorted((distance(stem, s, most + 0.25), -max(self.weight.get(c, 0) for c in self.stems[s]), s) for s in pool)
@@ -176,7 +178,7 @@ def build_dictionary(mapping: DataFrame, edits: int = MAX_EDITS) -> Dictionary:
     """The dictionary of class_mapping: canonical names, aliases and abbreviations."""
     rows = mapping.select("canonical_name", "resfinder_alias", "ncbi_alias", "card_class_abbrev").filter("canonical_name IS NOT NULL").distinct().limit(MAX_NAMES + 1).collect()
     if len(rows) > MAX_NAMES:
-        raise ValueError(f"the list has more than {MAX_NAMES} entries; look it up in parts with canonicalise_large")
+        raise ValueError(f"the list has more than {MAX_NAMES} entries")
     out = Dictionary(edits)
     for r in rows:
         out.add(r.canonical_name, r.canonical_name)
