@@ -33,8 +33,11 @@ def p5_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p5_groups(spark: SparkSession, sf: str) -> DataFrame:
-    """One row per near-duplicate entry: its class and how many entries it is linked to."""
-    return connected_classes(p5_found(spark, sf), "jrc_id_a", "jrc_id_b").withColumnRenamed("id", "jrc_id")
+    """One row per entry: its class and how many entries it is linked to; one without links is a class of its own."""
+    linked = connected_classes(p5_found(spark, sf), "jrc_id_a", "jrc_id_b").withColumnRenamed("id", "jrc_id")
+    every = table(spark, sf, "sequence").select("jrc_id").filter("jrc_id IS NOT NULL").distinct()
+    out = every.join(linked, "jrc_id", "left")
+    return out.select("jrc_id", F.coalesce("class_id", "jrc_id").alias("class_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
 
 
 def _canonical(spark: SparkSession, sf: str) -> DataFrame:
