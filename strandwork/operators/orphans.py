@@ -91,8 +91,8 @@ def _survivors(pdf: pd.DataFrame) -> pd.DataFrame:
         left = Bits(refs[periods == period]).and_not(known)
         if len(left):
             out.append((at[left], np.full(len(left), period)))
-    if not out:
-        return pd.DataFrame({"link": [], "key": [], "period": [], "reason": [], "first_at": []})
+    if not out:  # no rows, but columns of the right types
+        out.append((np.zeros(0, np.int64), np.zeros(0, np.int64)))
     rows = np.concatenate([r for r, _ in out])
     hit, period = pdf.iloc[rows], np.concatenate([p for _, p in out])
     reason = np.where(
