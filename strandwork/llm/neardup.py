@@ -1,16 +1,21 @@
 """Near-duplicate sequences with small edits and moved blocks.
 
-Signatures are bit sets of the 6-letter words of a sequence. One edit changes
-at most 2 * 6 bits, so bit counts of an exclusive-or bound the edits from below
-and pairs beyond the radius are skipped exactly; an alignment decides the rest.
-
-Comparing all tiles of a collection with all others grows with its square, so
-the tiles are formed of sequences that share a seed: one of about ``SEEDS``
-18-letter words chosen by hash, the same ones in every sequence that holds
-them. A seed shared by few sequences gives its pairs directly; the members of a
-hot seed are sorted by length, cut into tiles, and tile pairs whose lengths or
-bit counts lie apart by more than the radius are skipped. No tile, bucket or
-class is gathered in one task, nothing is dropped or capped.
+Signatures are bit sets of the words of a sequence, of 6 letters or, where these
+no longer tell long sequences apart, of 7 or 8. One edit changes at most 2 * 6
+bits, so bit counts of an exclusive-or bound the edits from below and pairs
+beyond the radius are skipped exactly; an alignment decides the rest.
+
+All sequences are sorted by length and cut into tiles, and every pair of tiles
+whose lengths lie within the radius is compared: no pair is left to chance, and
+the work grows with the square of the collection. The bits that a tile has in
+common with another are one product of matrices.
+
+``sampled_candidates`` is the cheap way for collections where that is too dear,
+and no query uses it: tiles are formed of sequences that share a seed, one of
+about ``SEEDS`` 18-letter words chosen by hash, the same ones in every sequence
+that holds them. A pair whose edits leave no such word in common is not found.
+A seed shared by few sequences gives its pairs directly; the members of a hot
+seed are sorted by length and cut into tiles.
 
 Equal texts are one entry: duplicates are dropped on the map side before every
 shuffle and led back to their representative at the end.
@@ -36,6 +41,9 @@ SHORT, SHORT_LETTERS = 110, 6  # below this length every 6-letter word is a seed
 OVERLAP = 100
 WORD = 6
 BUCKET, TILE = 64, 512
+WHOLE_TILE = 8192  # texts in a tile of the whole collection
+LETTERS_UP_TO = ((1200, 6), (3500, 7))  # longest text that words of so many letters tell apart; 8 beyond
+CELLS = 2**23  # signature bits held at once
 MOVES = 8  # moved blocks that the radius allows for
 CODE = np.zeros(256, np.uint8)
 CODE[list(b"ACGT")] = [0, 1, 2, 3]
@@ -120,7 +128,7 @@ def _seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _in_reach(n: np.ndarray, m: np.ndarray) -> np.ndarray:
-    return np.abs(n - m) <= EDITS * np.maximum(n, m)
+    return np.abs(n - m) <= EDITS * np.maximum(n, m) + 1e-9
 
 
 def _bucket_pairs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -187,11 +195,51 @@ def signatures(texts: list[bytes]) -> np.ndarray:
     return out
 
 
-def radius(longest: np.ndarray) -> np.ndarray:
-    """Most bits by which two signatures within reach can differ."""
-    most = np.floor(EDITS * longest)
+def radius(longest: np.ndarray, word: int = WORD) -> np.ndarray:
+    """Most bits by which two signatures within reach can differ.
+
+    An edit touches as many words as a word has letters, in either text; a
+    moved block those over three junctions, one less over each.
+    """
+    most = np.floor(EDITS * longest + 1e-9)
     moved = np.minimum(most, MOVES)
-    return 2 * WORD * (most - moved) + 6 * WORD * moved
+    return 2 * word * (most - moved) + 6 * (word - 1) * moved
+
+
+def _flags(texts: list[bytes], word: int, side: int) -> np.ndarray:
+    """Signatures as rows of 0 and 1, and two columns by which the product of both sides is minus half the bits that differ."""
+    size = np.array([len(t) for t in texts])
+    out = np.zeros((len(texts), 4**word + 2), np.float32)
+    if size.sum() >= word:
+        w = _words(CODE[np.frombuffer(b"".join(texts), np.uint8)], word).astype(np.int64)
+        row = np.repeat(np.arange(len(texts)), size)
+        inside = row[: len(w)] == row[word - 1 :]
+        out[row[: len(w)][inside], w[inside]] = 1
+    out[:, 4**word + side] = out.sum(1) / -2
+    out[:, 4**word + 1 - side] = 1
+    return out
+
+
+def _near_cells(x: list[bytes], y: list[bytes], same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(i, j) of the texts, sorted by length, whose signatures differ within the radius; i < j where x and y are the same."""
+    nx, ny = (np.array([len(t) for t in s]) for s in (x, y))
+    word = next((k for n, k in LETTERS_UP_TO if max(nx.max(), ny.max()) <= n), 8)
+    wide = CELLS // 4**word
+    high = max(1, wide // 2)
+    for q in range(0, len(y), wide):
+        right, m = None, ny[q : q + wide]
+        for p in range(0, min(len(x), q + wide) if same else len(x), high):
+            n = nx[p : p + high]
+            if not (_in_reach(n.max(), m.min()) or _in_reach(n.min(), m.max()) or n.min() <= m.max() and m.min() <= n.max()):
+                continue
+            if right is None:
+                right = _flags(y[q : q + wide], word, 1).T
+            alike = _flags(x[p : p + high], word, 0) @ right
+            i, j = np.nonzero(alike >= radius(max(n.max(), m.max()), word) / -2)
+            near = (-2 * alike[i, j] <= radius(np.maximum(n[i], m[j]), word)) & _in_reach(n[i], m[j])
+            if same:
+                near &= i + p < j + q
+            yield i[near] + p, j[near] + q
 
 
 def _pack(t: bytes) -> bytes:
@@ -395,28 +443,35 @@ def _verify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield f.iloc[at][["key_a", "key_b"]]
 
 
+def _by_length(f: pd.DataFrame) -> tuple[list[bytes], np.ndarray]:
+    texts = [_unpack(bytes(p)) for p in f.text]
+    order = np.argsort([len(t) for t in texts], kind="stable")
+    return [texts[i] for i in order], f.id.to_numpy()[order]
+
+
 def _compare_tiles(f: pd.DataFrame) -> pd.DataFrame:
-    """One pair of tiles of a hot seed."""
+    """One pair of tiles."""
     f = f.drop_duplicates(["side", "id"])
     left, right = f[f.side == 0], f[f.side == 1]
     same = bool((f.t1 == f.t2).iloc[0]) if len(f) else True
     right = left if same else right
     out = []
     if len(left) and len(right):
-        x, y = ([_unpack(bytes(p)) for p in s.text] for s in (left, right))
-        bx, by = signatures(x), signatures(y)
-        cx, cy = (np.bitwise_count(b).sum(1).astype(np.int64) for b in (bx, by))
-        nx, ny = (np.array([len(t) for t in s]) for s in (x, y))
-        most = radius(np.array([max(nx.max(), ny.max())]))[0]
-        if cx.min() - cy.max() <= most and cy.min() - cx.max() <= most:
-            for i in range(len(x)):
-                limit = radius(np.maximum(nx[i], ny))
-                far = np.bitwise_count(bx[i] ^ by).sum(1)
-                for j in np.flatnonzero((far <= limit) & _in_reach(nx[i], ny)).tolist():
-                    a, b = left.id.iat[i], right.id.iat[j]
-                    if a != b:
-                        out.append((min(a, b), max(a, b)))
-    return pd.DataFrame(out, columns=["a", "b"]).astype("int64").drop_duplicates()
+        (x, a), (y, b) = (_by_length(s) for s in (left, right))
+        for i, j in _near_cells(x, y, same):
+            one, two = a[i], b[j]
+            differ = one != two
+            out.append(pd.DataFrame({"a": np.minimum(one, two)[differ], "b": np.maximum(one, two)[differ]}))
+    return pd.concat(out).drop_duplicates() if out else pd.DataFrame({"a": [], "b": []}).astype("int64")
+
+
+def _number_tiles(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows of a range of lengths, sorted: the tile of each."""
+    seen = 0
+    for f in frames:
+        tile = (seen + np.arange(len(f))) // WHOLE_TILE
+        seen += len(f)
+        yield pd.DataFrame({"seed": 0, "tile": f.part.to_numpy().astype(np.int64) << 32 | tile, "id": f.id.to_numpy(), "n": f.n.to_numpy()})
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -445,7 +500,13 @@ class NearDuplicates:
         return packed.groupBy("id").agg(F.min("key").alias("key"), F.max("text").alias("text"))
 
     def candidates(self) -> DataFrame:
-        """(a, b): ids of texts that share a seed, hot seeds compared by tiles."""
+        """(a, b): ids of all texts whose lengths and signatures lie within the radius."""
+        sizes = self.rows.select("id", F.octet_length("seq").alias("n")).distinct()
+        ranges = sizes.repartitionByRange("n", "id").sortWithinPartitions("n", "id").select(F.spark_partition_id().alias("part"), "id", "n")
+        return self._tiled(materialise(ranges.mapInPandas(_number_tiles, "seed long, tile long, id long, n int"), "tiles"))
+
+    def sampled_candidates(self) -> DataFrame:
+        """(a, b): ids of texts that share a seed, hot seeds compared by tiles; pairs without one are missing."""
         seeds = self.rows.select("id", "seq").mapInArrow(_seeds, "seed long, id long, n int")
         buckets = seeds.repartition("seed").sortWithinPartitions("seed", "n", "id").select("seed", "n", "id")
         found = buckets.mapInPandas(_bucket_pairs, "a long, b long, seed long, tile long, n int")
@@ -457,9 +518,9 @@ class NearDuplicates:
     def _tiled(self, hot: DataFrame) -> DataFrame:
         span = hot.groupBy("seed", "tile").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
         a, b = span.alias("a"), span.alias("b")
-        joined = a.join(b, (F.col("a.seed") == F.col("b.seed")) & (F.col("a.tile") <= F.col("b.tile")) & (F.col("b.lo") * (1 - EDITS) <= F.col("a.hi")))
+        joined = a.join(b, (F.col("a.seed") == F.col("b.seed")) & (F.col("a.tile") <= F.col("b.tile")) & (F.col("b.lo") * (1 - EDITS) <= F.col("a.hi") + 1e-6))
         work = joined.select("a.seed", F.col("a.tile").alias("t1"), F.col("b.tile").alias("t2"))
-        sides = work.select("*", F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("t1").alias("tile")), F.struct(F.lit(1).alias("side"), F.col("t2").alias("tile")))).alias("s"))
+        sides = work.select("*", F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("t1").alias("tile")), F.struct(F.lit(1).alias("side"), F.col("t2").alias("tile")))).alias("s")).filter("s.side = 0 OR t1 < t2")
         members = sides.select("seed", "t1", "t2", "s.*").join(hot.select("seed", "tile", "id"), ["seed", "tile"])
         return members.join(self._texts().select("id", "text"), "id").groupBy("seed", "t1", "t2").applyInPandas(_compare_tiles, "a long, b long")
 

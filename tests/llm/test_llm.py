@@ -189,6 +189,46 @@ def test_hot_seeds_go_through_tiles(spark, monkeypatch):
     assert {frozenset((ids[a], ids[b])) for a, b in brute(texts)} <= found
 
 
+def test_no_pair_is_left_to_chance(spark):
+    """Pairs with 5 to 8 % of edits, at random and at even distances, of which no long word may be left."""
+    rng = random.Random(10)
+    texts, want = {}, set()
+    for i in range(240):
+        s = "".join(rng.choices("ACGT", k=rng.randrange(200, 1300)))
+        if i % 2:
+            t = "".join("ACGT"["ACGT".index(c) - 1] if k % 13 == 6 else c for k, c in enumerate(s))
+        else:
+            t = edited(rng, s, int(len(s) * rng.choice([0.05, 0.06, 0.07, 0.078])))
+        texts |= {f"a{i:03}": s, f"b{i:03}": t}
+        if within_reach(s.encode(), t.encode()):
+            want.add((f"a{i:03}", f"b{i:03}"))
+    assert len(want) == 240
+    near = NearDuplicates(spark.createDataFrame(list(texts.items()), "key string, seq string"), "key", "seq")
+    assert rows(near.pairs()) == want
+    ids = {r.id: r.key for r in near.rows.collect()}
+    sampled = {tuple(sorted((ids[a], ids[b]))) for a, b in rows(near.sampled_candidates())}
+    assert len(want & sampled) < 200
+
+
+def test_tiles_of_the_whole_collection(spark, monkeypatch):
+    rng = random.Random(11)
+    x = ["".join(rng.choices("ACGT", k=rng.randrange(900, 1400))).encode() for _ in range(60)]
+    x += [edited(rng, t.decode(), len(t) // 15).encode() for t in x[:30]]
+    x.sort(key=len)
+    want = {(i, j) for i in range(90) for j in range(i + 1, 90) if within_reach(x[i], x[j])}
+    assert len(want) == 30
+    for letters in (6, 7, 8):
+        monkeypatch.setattr(neardup, "LETTERS_UP_TO", ((10**6, letters),))
+        monkeypatch.setattr(neardup, "CELLS", 4**letters * 16)
+        whole = {(int(i), int(j)) for a, b in neardup._near_cells(x, x, True) for i, j in zip(a, b)}
+        halves = {(int(i), int(j) + 40) for a, b in neardup._near_cells(x[:40], x[40:], False) for i, j in zip(a, b)}
+        assert want <= whole and {p for p in want if p[0] < 40 <= p[1]} <= halves
+    parts = [pd.DataFrame({"part": 2, "id": np.arange(k, k + 7), "n": 300}) for k in range(0, 21, 7)]
+    monkeypatch.setattr(neardup, "WHOLE_TILE", 5)
+    out = pd.concat(neardup._number_tiles(iter(parts)))
+    assert out.id.tolist() == list(range(21)) and (out.tile - (2 << 32)).tolist() == [i // 5 for i in range(21)]
+
+
 # canonical names
 
 
