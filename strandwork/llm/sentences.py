@@ -10,10 +10,10 @@ The model is trained on the corpus itself, without labels. Every certain unit
 shows how sentences begin and end; how often a context occurs at certain ends,
 against how often it occurs inside units, tells how often it ends a sentence;
 expectation-maximisation settles the rest. The counts cover all texts: they
-are summed on the workers and by one aggregation. Only the resulting model is
-collected. Contexts rarer than ``RARE`` of all events are known by their shape,
-so it holds at most 2 / ``RARE`` contexts, and of pairs of contexts the
-``MAX_CELLS`` most frequent (others are scored by their two halves).
+are summed on the workers and by one aggregation, and every round sums over all
+pairs of contexts on the workers. Only sums by context are collected. Contexts
+rarer than ``RARE`` of all events are known by their shape, so there are at most
+2 / ``RARE`` of them; pairs of contexts are not limited.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -32,8 +32,8 @@ from ..session import materialise
 
 RARE = 2e-6
 LEAST = 12
-MAX_CELLS = 300_000
 ROUNDS = 12
+POINT = 2**20  # expected counts are summed in whole parts of 1 / POINT, so that their order makes no difference
 SHORT = 0.05  # weight of two boundaries with less than two words between them
 HAN = "々-〇぀-ヿ㐀-䶿一-鿿豈-﫿"
 THAI = "฀-๿"
@@ -241,29 +241,25 @@ class BoundaryModel:
         self.words_after: set[str] = set()
 
     @staticmethod
-    def fit(cells: pd.DataFrame, known_before: dict[str, str], known_after: dict[str, str]) -> "BoundaryModel":
-        """cells: before, after, n. after is ``</s>`` at certain ends, before is ``<s>`` at certain starts.
+    def fit(before: pd.DataFrame, after: pd.DataFrame, known_before: dict[str, str], known_after: dict[str, str], expected: Callable) -> "BoundaryModel":
+        """before, after: name, n (how often inside units), sure (how often at certain ends or starts), of each context.
 
         known_before and known_after lead from the frequent contexts to their
-        shapes; all other contexts of cells are shapes.
+        shapes; all other contexts are shapes. expected(end, start, share) has
+        the expected boundaries of each context before and after.
         """
         out = BoundaryModel()
         out.words_before, out.words_after = set(known_before), set(known_after)
-        ends = cells[cells.after == STOP].groupby("before").n.sum()
-        starts = cells[cells.before == START].groupby("after").n.sum()
-        inner = cells[(cells.after != STOP) & (cells.before != START)]
-        if not len(inner):
+        if not len(before):
             return out
-        b_codes, b_names = pd.factorize(inner.before)
-        a_codes, a_names = pd.factorize(inner.after)
-        n = inner.n.to_numpy(np.float64)
-        n_before, n_after = np.bincount(b_codes, n), np.bincount(a_codes, n)
+        b_names, a_names = before.name.to_numpy(), after.name.to_numpy()
+        n_before, n_after = before.n.to_numpy(np.float64), after.n.to_numpy(np.float64)
+        at_end, at_start = before.sure.to_numpy(np.float64), after.sure.to_numpy(np.float64)
+        total = n_before.sum()
         marks = np.array([_mark(x) for x in b_names])
-        at_end = ends.reindex(b_names).fillna(0).to_numpy(np.float64)
-        at_start = starts.reindex(a_names).fillna(0).to_numpy(np.float64)
         # certain ends per boundary inside units, from marks that hardly have another use
         sure = np.array([m in "!?" + STRONG and x[-2:-1] == " " for m, x in zip(marks, b_names)])
-        rate = (at_end[sure].sum() + 1) / (n_before[sure].sum() + 2) if sure.any() else (at_end.sum() + 1) / (n.sum() * 0.6 + 2)
+        rate = (at_end[sure].sum() + 1) / (n_before[sure].sum() + 2) if sure.any() else (at_end.sum() + 1) / (total * 0.6 + 2)
         rate = max(rate, 1e-3)
         base_end = np.where([_is_abbreviation(x) for x in b_names], 0.03, np.where(marks == "…", 0.5, np.where(marks == ".", 0.7, 0.9)))
         base_start = np.array([_start_guess(x) for x in a_names])
@@ -279,12 +275,12 @@ class BoundaryModel:
         start0 = np.clip(direct(at_start, n_after, base_start, a_names, known_after), 0.005, 0.99)
         firm = lambda c: 1 + c * (1 + 20 * c * rate / (c * rate + 5))
         end, start = end0, start0
-        share = float((end0 * n_before).sum() / n.sum())
+        share = float((end0 * n_before).sum() / total)
         for _ in range(ROUNDS):
-            stay = 1 / (1 + np.exp(-(_logit(end)[b_codes] + _logit(start)[a_codes] - _logit(share))))
-            end = np.clip((np.bincount(b_codes, n * stay) + firm(n_before) * end0) / (n_before + firm(n_before)), 0.002, 0.995)
-            start = np.clip((np.bincount(a_codes, n * stay) + firm(n_after) * start0) / (n_after + firm(n_after)), 0.005, 0.995)
-            share = float((n * stay).sum() / n.sum())
+            stay_before, stay_after = expected(end, start, share)
+            end = np.clip((stay_before + firm(n_before) * end0) / (n_before + firm(n_before)), 0.002, 0.995)
+            start = np.clip((stay_after + firm(n_after) * start0) / (n_after + firm(n_after)), 0.005, 0.995)
+            share = float(stay_before.sum() / total)
         out.ends, out.starts, out.share = dict(zip(b_names, end.tolist())), dict(zip(a_names, start.tolist())), share
         for m in set(marks.tolist()):
             mine = marks == m
@@ -411,8 +407,55 @@ def train(df: DataFrame, text: str = "text") -> BoundaryModel:
         F.when(F.col("keep_after").isNotNull(), F.col("after")).otherwise(F.col("after_shape")).alias("after"),
         "n",
     )
-    cells = mapped.groupBy("before", "after").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "before", "after").limit(MAX_CELLS).toPandas()
-    return BoundaryModel.fit(cells, dict(map(tuple, before.collect())), dict(map(tuple, after.collect())))
+    cells = materialise(mapped.groupBy("before", "after").agg(F.sum("n").alias("n")), "cells")
+    names_before, names_after = _sums(cells, "before", F.col("after") == STOP), _sums(cells, "after", F.col("before") == START)
+    return BoundaryModel.fit(names_before, names_after, dict(map(tuple, before.collect())), dict(map(tuple, after.collect())), _expectation(cells, names_before, names_after))
+
+
+def _sums(cells: DataFrame, column: str, certain) -> pd.DataFrame:
+    """name, n, sure: how often each context is found inside units, and at certain ends or starts."""
+    inside = (F.col("before") != START) & (F.col("after") != STOP)
+    out = cells.groupBy(F.col(column).alias("name")).agg(F.sum(F.when(inside, F.col("n")).otherwise(0)).alias("n"), F.sum(F.when(certain, F.col("n")).otherwise(0)).alias("sure"))
+    return out.filter("n > 0").toPandas().sort_values("name", ignore_index=True)
+
+
+def _expectation(cells: DataFrame, names_before: pd.DataFrame, names_after: pd.DataFrame) -> Callable:
+    """The expected boundaries of each context, summed over all cells on the workers."""
+    spark = cells.sparkSession
+    sizes = len(names_before), len(names_after)
+    if not all(sizes):
+        return lambda *_: (np.zeros(0), np.zeros(0))
+
+    def codes(names: pd.DataFrame, column: str, code: str) -> DataFrame:
+        return spark.createDataFrame(pd.DataFrame({column: names.name, code: np.arange(len(names))}), f"{column} string, {code} long")
+
+    coded = cells.join(codes(names_before, "before", "b"), "before").join(codes(names_after, "after", "a"), "after").select("b", "a", "n")
+    coded = materialise(coded, "coded")
+
+    def expected(end: np.ndarray, start: np.ndarray, share: float) -> tuple[np.ndarray, np.ndarray]:
+        sent = spark.sparkContext.broadcast((_logit(end), _logit(start), _logit(share)))
+
+        def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            e, s, t = sent.value
+            sums = [np.zeros(k, np.int64) for k in sizes]
+            for f in frames:
+                b, a = f.b.to_numpy(), f.a.to_numpy()
+                stay = np.rint(f.n.to_numpy() * POINT / (1 + np.exp(-(e[b] + s[a] - t)))).astype(np.int64)
+                np.add.at(sums[0], b, stay)
+                np.add.at(sums[1], a, stay)
+            for side, x in enumerate(sums):
+                at = np.flatnonzero(x)
+                yield pd.DataFrame({"side": side, "code": at, "stay": x[at]})
+
+        found = coded.mapInPandas(run, "side int, code long, stay long").groupBy("side", "code").agg(F.sum("stay").alias("stay")).toPandas()
+        sent.unpersist()
+        out = [np.zeros(k) for k in sizes]
+        for side, x in enumerate(out):
+            mine = found[found.side == side]
+            x[mine.code.to_numpy()] = mine.stay.to_numpy() / POINT
+        return out[0], out[1]
+
+    return expected
 
 
 def split_sentences(df: DataFrame, key: str, text: str, model: BoundaryModel) -> DataFrame:

@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from strandwork.llm import neardup
+from strandwork.llm import neardup, sentences
 from strandwork.llm.canonical import UNMATCHED, build_dictionary, canonicalise, distance, report
 from strandwork.llm.mixing import Mixture
 from strandwork.llm.neardup import EDITS, NearDuplicates, _pack, _seed_rows, _unpack, edit_distance, moved_distance, radius, signatures, within_reach
@@ -403,6 +403,36 @@ def test_sentences_on_held_out_texts(spark):
     assert precision > 0.98 and recall > 0.98
 
 
+def test_model_counts_every_pair_of_contexts(spark, monkeypatch):
+    """A mark after one word before many different words: each pair is rare, the word is not."""
+    rng = random.Random(12)
+    names = ["".join(rng.choices("abcdefghij", k=6)).capitalize() for _ in range(400)]
+    docs = [(i, f"The value rose in strain {x} again. It was seen by kmx. {x} as well. Then nothing more was seen here.") for i, x in enumerate(names * 2)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    monkeypatch.setattr(sentences, "LEAST", 2)
+    whole = train(df)
+    monkeypatch.setattr(sentences, "MAX_CELLS", 3, raising=False)
+    again = train(df.repartition(7))
+    assert again.ends == whole.ends and again.starts == whole.starts and again.share == whole.share
+    assert {x for x in whole.words_before if x != "<s>"} - {"here ."} <= set(whole.ends) and set(names) <= set(whole.starts)
+    # the same rounds over all events in one place
+    b, a, n = [], [], []
+    for (x, y), k in Counter((s[2], s[4]) for _, t in docs for s in sentences.Unit(t, 0, len(t)).spots).items():
+        b.append(x), a.append(y), n.append(k)
+
+    def expected(end, start, share):
+        e, s = dict(zip(before.name, end)), dict(zip(after.name, start))
+        odds = [e[x] / (1 - e[x]) * s[y] / (1 - s[y]) * (1 - share) / share for x, y in zip(b, a)]
+        stay = pd.DataFrame({"b": b, "a": a, "p": [k * o / (1 + o) for k, o in zip(n, odds)]})
+        return stay.groupby("b").p.sum()[before.name].to_numpy(), stay.groupby("a").p.sum()[after.name].to_numpy()
+
+    cells = pd.DataFrame({"b": b, "a": a, "n": n})
+    before, after = (cells.groupby(c).n.sum().rename_axis("name").reset_index().assign(sure=0) for c in ("b", "a"))
+    after.loc[after.name == "The", "sure"] = len(docs)
+    plain = sentences.BoundaryModel.fit(before, after, dict.fromkeys(before.name, ""), dict.fromkeys(after.name, ""), expected)
+    assert plain.ends == pytest.approx(whole.ends, abs=1e-4) and plain.starts == pytest.approx(whole.starts, abs=1e-4)
+
+
 def test_sentences_of_odd_texts(spark):
     docs = spark.createDataFrame([(1, None, "c"), (2, " \n ", "c"), (3, "no mark at all", "c"), (4, "One. " * 4000, "c"), (3, "no mark at all", "c"), (5, "...!?", "c"), (6, '"open (never closed. Yes', "c")], "doc_id long, text string, start_pos string")
     model = train(docs)
