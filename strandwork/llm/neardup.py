@@ -37,6 +37,7 @@ from ..session import materialise
 EDITS = 0.08  # edits per letter of the longer text
 SEEDS = 16
 SEED_LETTERS = 18
+FEW = 4  # a text with less sampled seeds gets all its words
 SHORT, SHORT_LETTERS = 110, 6  # below this length every 6-letter word is a seed, which misses nothing
 OVERLAP = 100
 WORD = 6
@@ -81,11 +82,11 @@ def _letters(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _seed_rows(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(row, seed) of a batch of texts."""
+    """(row, seed) of a batch of texts. Other letters than ACGT count as A, as in signatures; a text with less than ``FEW`` seeds gets all its words."""
     d, off = _letters(column)
     size = np.diff(off)
     row = np.repeat(np.arange(len(size)), size)
-    codes, other = CODE[d], np.concatenate([[0], np.cumsum(~PURE[d])])
+    codes = CODE[d]
     rows, seeds = [], []
     for k, wanted in ((SEED_LETTERS, size >= OVERLAP), (SHORT_LETTERS, size < SHORT)):
         if len(d) < k or not wanted.any():
@@ -94,10 +95,11 @@ def _seed_rows(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         r = row[: len(w)]
         ok = (row[k - 1 :] == r) & wanted[r]
         if k == SEED_LETTERS:
-            ok &= other[k:] == other[: len(w)]
             h = _mix(w + np.uint64(1))
             share = np.minimum(1.0, SEEDS / np.maximum(1, size - k + 1))
-            ok &= (h >> np.uint64(11)).astype(np.float64) < share[r] * 2.0**53
+            drawn = ok & ((h >> np.uint64(11)).astype(np.float64) < share[r] * 2.0**53)
+            few = np.bincount(r[drawn], minlength=len(size)) < FEW
+            ok &= drawn | few[r]
         else:
             h = _mix(w + (np.uint64(1) << np.uint64(62)))
         rows.append(r[ok])

@@ -210,6 +210,20 @@ def test_no_pair_is_left_to_chance(spark):
     assert len(want & sampled) < 200
 
 
+def test_letters_other_than_acgt(spark):
+    """Texts with another letter in every long word are compared and seeded like others."""
+    rng = random.Random(13)
+    texts = {}
+    for i in range(20):
+        s = "".join(rng.choice("NRY") if k % 10 == 3 else rng.choice("ACGT") for k in range(400))
+        texts |= {f"a{i:02}": s, f"b{i:02}": edited(rng, s, 4)}
+    near = NearDuplicates(spark.createDataFrame(list(texts.items()), "key string, seq string"), "key", "seq")
+    want = {(f"a{i:02}", f"b{i:02}") for i in range(20)}
+    assert rows(near.pairs()) == want
+    row, _ = _seed_rows(pa.array(list(texts.values()) + ["AC" * 100]))
+    assert set(row.tolist()) == set(range(41))
+
+
 def test_tiles_of_the_whole_collection(spark, monkeypatch):
     rng = random.Random(11)
     x = ["".join(rng.choices("ACGT", k=rng.randrange(900, 1400))).encode() for _ in range(60)]
