@@ -154,9 +154,13 @@ def _bucket_pairs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         start = np.flatnonzero(np.concatenate([[True], seed[1:] != seed[:-1]])) if len(seed) else np.zeros(0, np.int64)
         size = np.diff(np.concatenate([start, [len(seed)]]))
         out = []
+        begun = np.array([int(x) in hot for x in seed[start]], bool)  # what is left of a hot seed, whatever its size
+        for x in start[begun].tolist():
+            yield tiles(f.iloc[x : x + size[start == x][0]])
+        start, size = start[~begun], size[~begun]
         for s in np.unique(size[size > 1]).tolist():
             at = start[size == s]
-            if s > BUCKET or any(int(x) in hot for x in seed[at][:1]):
+            if s > BUCKET:
                 for x in at.tolist():
                     yield tiles(f.iloc[x : x + s])
                 continue

@@ -224,6 +224,19 @@ def test_letters_other_than_acgt(spark):
     assert set(row.tolist()) == set(range(41))
 
 
+def test_rest_of_a_hot_seed(monkeypatch):
+    """One row of a seed is left when the next begins."""
+    monkeypatch.setattr(neardup, "TILE", 8)
+    for left in (0, 1, 2):
+        k = 64 + left
+        f = pd.DataFrame({"seed": [1] * k + [2] * 3, "n": 300, "id": np.arange(k + 3)}).astype({"n": "int32"})
+        for cut in (k - 1, k, 64, 40):
+            out = pd.concat(list(neardup._bucket_pairs(iter([f.iloc[:cut], f.iloc[cut:]]))))
+            hot = out[(out.tile >= 0) & (out.seed == 1)]
+            cells = {*zip(out[out.tile < 0].a, out[out.tile < 0].b)} | {(x, y) for x in hot.a for y in hot.a if x < y}
+            assert cells == {(x, y) for x in range(k) for y in range(x + 1, k)} | {(k, k + 1), (k, k + 2), (k + 1, k + 2)}
+
+
 def test_tiles_of_the_whole_collection(spark, monkeypatch):
     rng = random.Random(11)
     x = ["".join(rng.choices("ACGT", k=rng.randrange(900, 1400))).encode() for _ in range(60)]
