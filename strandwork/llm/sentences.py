@@ -289,8 +289,11 @@ class BoundaryModel:
 
     def odds(self, before: str, before_shape: str, after: str, after_shape: str) -> float:
         """Log odds of a boundary between the context before and the token after."""
-        end = self.ends.get(before if before in self.words_before else before_shape)
-        if end is None:
+        known = before in self.words_before
+        end = self.ends.get(before if known else before_shape)
+        if not known and before != before_shape and _is_abbreviation(before):  # too rare to be counted by itself
+            end = 0.03
+        elif end is None:
             mark = _mark(before)
             end = 0.03 if _is_abbreviation(before) else self.mark.get(mark, 0.7 if mark == "." else 0.4 if mark == "…" else 0.95)
         start = self.starts.get(after if after in self.words_after else after_shape)

@@ -460,6 +460,16 @@ def test_model_counts_every_pair_of_contexts(spark, monkeypatch):
     assert plain.ends == pytest.approx(whole.ends, abs=1e-4) and plain.starts == pytest.approx(whole.starts, abs=1e-4)
 
 
+def test_rare_listed_abbreviations(spark):
+    """An abbreviation of the list that is too rare to be counted is not taken for any lower-case word."""
+    rare = ["".join(random.Random(i).choices("bcdfgklm", k=7)) for i in range(300)]
+    docs = [(i, f"It was seen here. The value rose again. More was {x}. The series was {x[::-1]}.\n\nThe strain was {x[1:]}.\n\nThe series was {x[2:]}.") for i, x in enumerate(rare)]
+    model = train(spark.createDataFrame(docs, "doc_id long, text string"))
+    text = "It grew in min. The value rose approx. The series ended here."
+    assert model.ends["<Ll> ."] > 0.5 and not {"min .", "approx ."} & model.words_before
+    assert split_text(text, model) == [(0, len(text))]
+
+
 def test_sentences_of_odd_texts(spark):
     docs = spark.createDataFrame([(1, None, "c"), (2, " \n ", "c"), (3, "no mark at all", "c"), (4, "One. " * 4000, "c"), (3, "no mark at all", "c"), (5, "...!?", "c"), (6, '"open (never closed. Yes', "c")], "doc_id long, text string, start_pos string")
     model = train(docs)
