@@ -56,3 +56,9 @@ def last_leaf_code(c: Column) -> Column:
 def dotted_version(c: Column) -> Column:
     """1.2.3 as one number to the base 1000."""
     return F.aggregate(F.split(c, r"\."), F.lit(0).cast("long"), lambda a, x: a * 1000 + F.coalesce(x.try_cast("long"), F.lit(0)))
+
+
+def href_code(href: Column, pattern: str) -> Column:
+    """The ``code`` a link asks for, in capitals, or null where it has none that fits the pattern."""
+    code = F.upper(F.trim(F.regexp_extract(href, r"\?code=([^&]*)", 1)))
+    return F.when(code.rlike(pattern) & (code != ""), code)

@@ -12,7 +12,28 @@ def content_id(c: Column, prefix: str, chars: int = 10) -> Column:
 
 
 def padded_id(n: Column, prefix: str, width: int = 6) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(n.cast("string"), width, "0"))
+    """prefix and the number, zeros before it up to ``width`` digits; longer numbers are kept whole."""
+    text = n.cast("string")
+    return F.concat(F.lit(prefix), F.lpad(text, F.greatest(F.length(text), F.lit(width)), F.lit("0")))
+
+
+def last_number(df: DataFrame | None, column: str) -> int:
+    """The greatest number at the end of the ids of a column, 0 if there is none."""
+    if df is None:
+        return 0
+    return df.agg(F.max(F.regexp_extract(F.col(column).cast("string"), r"(\d+)$", 1).try_cast("long"))).first()[0] or 0
+
+
+def assign_numbers(found: DataFrame, key: str, stored: DataFrame | None, last: int, chars: int = 3, name: str = "n") -> DataFrame:
+    """(key, n) of every key found: the stored number of a known key, the next free ones, from ``last`` + 1 on, for the others.
+
+    stored: key and n. New keys are numbered in their own order, so that the
+    same load gives the same numbers.
+    """
+    keys = found.select(key).distinct()
+    fresh = keys if stored is None else keys.join(stored.select(key), key, "left_anti")
+    numbered = number_rows(fresh, key, chars, name).withColumn(name, F.col(name) + last)
+    return numbered if stored is None else keys.join(stored.select(key, name), key).unionByName(numbered)
 
 
 def number_rows(df: DataFrame, key: str, chars: int = 3, name: str = "n") -> DataFrame:

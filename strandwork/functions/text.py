@@ -82,3 +82,11 @@ def ontology_key(c: Column) -> Column:
 
 def protein_key(c: Column) -> Column:
     return F.upper(filled(c))
+
+
+def url_quote(c: Column) -> Column:
+    """Percent-encoding of a path piece: letters, digits and ``_.-~/`` stay as they are."""
+    out = F.url_encode(c)
+    for coded, plain in (("+", "%20"), ("*", "%2A"), ("%2F", "/"), ("%7E", "~")):
+        out = F.replace(out, F.lit(coded), F.lit(plain))
+    return out

@@ -2,12 +2,17 @@
 
 Every round joins the pointers with themselves, so that after k rounds a
 pointer spans 2^k links; depth d takes about log2(d) rounds, whatever the
-number of rows. All tables are pairs, written to the shared folder between
+number of rows. Circles are settled first: every node follows one of its
+parents, whose pointers, one a node, double until they only end on circles;
+each circle is then one node, and what is left has no circle that pointers
+could multiply in. All tables are pairs, written to the shared folder between
 rounds (never collected), and every join is an equi-join that AQE may split.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +21,49 @@ from ..session import discard, materialise
 SEP = "/"
 
 
+def _followed_circles(links: DataFrame) -> DataFrame:
+    """(id, label) of the nodes on circles of two nodes or more that following one parent leads round; label is the circle's least id.
+
+    Every node follows its least parent and, apart from that, its greatest, so
+    there are two pointers a node in every round. Ends when the number of nodes
+    that pointers end on no longer falls: the pointers then map these nodes onto
+    themselves, so all of them lie on circles.
+    """
+    ways = F.explode(F.array(F.struct(F.lit(0).alias("way"), F.min("parent").alias("up")), F.struct(F.lit(1).alias("way"), F.max("parent").alias("up"))))
+    first = materialise(links.groupBy("id").agg(ways.alias("w")).select("w.way", "id", "w.up"), "follow")
+    jump, before = first, None
+    while True:
+        n, ends = jump.agg(F.count("*"), F.count_distinct("way", "up")).first()
+        if not n:
+            return first.limit(0).select("id", F.col("id").alias("label"))
+        if ends == before:
+            break
+        before = ends
+        a, b = jump.alias("a"), jump.alias("b")
+        now = materialise(a.join(b, (F.col("a.way") == F.col("b.way")) & (F.col("a.up") == F.col("b.id"))).select("a.way", "a.id", "b.up"), "follow")
+        if jump is not first:
+            discard(jump)
+        jump = now
+    on = jump.select("way", F.col("up").alias("id")).distinct()
+    ring = materialise(first.join(on, ["way", "id"]).select("way", "id", "up", F.col("id").alias("label")), "ring")
+    for old in {id(t): t for t in (first, jump)}.values():
+        discard(old)
+    while True:  # the least id of the next 2^k nodes round the circle, until it no longer changes
+        ahead = ring.select("way", F.col("id").alias("up"), F.col("up").alias("next"), F.col("label").alias("theirs"))
+        now = materialise(ring.join(ahead, ["way", "up"]).select("way", "id", F.col("next").alias("up"), F.least("label", "theirs").alias("label"), (F.col("theirs") < F.col("label")).alias("moved")), "ring")
+        moved = not now.filter("moved").isEmpty()
+        discard(ring)
+        ring = now.drop("moved")
+        ring._table_path = now._table_path
+        if not moved:
+            break
+    # a node may lie on one circle by each way: such a circle of the second way waits for the next turn
+    one = ring.filter("way = 0").select("id", "label")
+    two = ring.filter("way = 1").select("id", "label")
+    met = two.join(one.select("id"), "id", "left_semi").select("label").distinct()
+    return materialise(one.unionByName(two.join(met, "label", "left_anti").select("id", "label")), "circle")
+
+
 class Hierarchy:
     """Trees, and graphs with several parents, given by (id, parent) rows.
 
@@ -29,58 +77,76 @@ class Hierarchy:
         self.nodes = nodes.select("id").filter("id IS NOT NULL").distinct()
         links = edges.select("id", "parent").filter("id IS NOT NULL AND parent IS NOT NULL").distinct()
         self.edges = materialise(links, "edges")
-        self._reach: tuple[DataFrame, DataFrame] | None = None
-        self._open: DataFrame | None = None
+        self._reach: DataFrame | None = None
+        self._labels: DataFrame | None = None
 
     def _starts(self) -> DataFrame:
         return self.nodes.join(self.edges.select("id").distinct(), "id", "left_anti")
 
-    def reach(self) -> tuple[DataFrame, DataFrame]:
-        """(id, root_id) for every root above each node; (id) of unresolved nodes.
-
-        A node is unresolved if its pointers never run out: going up from it can
-        lead into a circle. A root reaches itself.
-
-        Ends when neither the roots found nor the set of unresolved nodes
-        changed in a round. Both are then final: of the nodes with the k-th
-        longest way up some have exactly that, so the set shrinks in every
-        round until only endless ways are left, and a root at distance d lies
-        at distance d - 1 of the next node on the way.
-        """
+    def _contract(self, links: DataFrame, within: DataFrame) -> DataFrame | None:
+        """links with each circle found among ``within`` made one node, or None if there is none; remembers what was put together."""
+        found = _followed_circles(within)
+        if found.isEmpty():
+            return None
+        own = found.select("id", F.col("label").alias("a"))
+        theirs = found.select(F.col("id").alias("parent"), F.col("label").alias("b"))
+        moved = links.join(own, "id", "left").join(theirs, "parent", "left").select(F.coalesce("a", "id").alias("id"), F.coalesce("b", "parent").alias("parent"))
+        if self._labels is None:
+            self._labels = found
+        else:
+            again = self._labels.join(found.select(F.col("id").alias("label"), F.col("label").alias("now")), "label", "left").select("id", F.coalesce("now", "label").alias("label"))
+            self._labels = materialise(again.unionByName(found.join(self._labels.select("id"), "id", "left_anti")), "labels")
+        return materialise(moved.filter("id <> parent").distinct(), "links")
+
+    def reach(self) -> DataFrame:
+        """(id, root_id) for every root above each node. A root reaches itself; a node all of whose ways end in circles has no row."""
         if self._reach is None:
-            # (id, up, done): pointers still to follow, and roots reached
-            roots = self._starts().select("id", F.col("id").alias("up"), F.lit(True).alias("done"))
-            links = self.edges.select("id", F.col("parent").alias("up"), F.lit(False).alias("done"))
-            state, before = materialise(roots.unionByName(links), "reach"), None
+            straight = materialise(self.edges.filter("id <> parent"), "links")
+            links = self._contract(straight, straight) or straight
             while True:
-                size = state.agg(F.count_if("done"), F.count_distinct(F.when(~F.col("done"), F.col("id")))).first()
-                if tuple(size) == before:
+                found, left = self._double(links)
+                if left is None:
                     break
-                before = tuple(size)
-                a, b = state.filter("NOT done").alias("a"), state.alias("b")
-                more = a.join(b, F.col("a.up") == F.col("b.id")).select("a.id", "b.up", "b.done")
-                now = materialise(state.filter("done").unionByName(more).distinct(), "reach")
-                discard(state)
-                state = now
-            self._open = state.filter("NOT done").select("id", "up")
-            self._reach = (
-                state.filter("done").select("id", F.col("up").alias("root_id")),
-                state.filter("NOT done").select("id").distinct(),
-            )
+                # circles that no single way led round: each unresolved node has an unresolved parent to follow
+                inner = links.join(left, "id", "left_semi").join(left.select(F.col("id").alias("parent")), "parent", "left_semi")
+                links = self._contract(links, inner)
+            if self._labels is not None:
+                # the members of a circle reach what it reaches; it stands among them under the least of their ids
+                ring = self._labels.join(found.withColumnRenamed("id", "label"), "label").select("id", "root_id")
+                found = found.join(self._labels.select("id"), "id", "left_anti").unionByName(ring)
+            self._reach = found
         return self._reach
 
-    def circles(self) -> DataFrame:
-        """(id) of every node that is its own ancestor.
+    def _double(self, links: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+        """(id, root_id) by pointers that double their span, and the (id) of nodes whose pointers never run out, or None.
 
-        Pointers that never run out end, after 2^k links, on circles or between
-        two of them (and on ways longer than 2^k into one). Every node of a
-        circle is such an end, so the closure of pairs is formed over the few
-        nodes that are.
+        Roots found are only added to; the pointers left are those that span
+        2^k links in full. If as many nodes have one after a round as before,
+        each of them has a parent that has one, so these ways never end.
         """
+        parts = [materialise(self._starts().select("id", F.col("id").alias("root_id")), "starts")]
+        jump, before = links.select("id", F.col("parent").alias("up")), None
+        while True:
+            done = reduce(DataFrame.unionByName, parts)
+            new = materialise(jump.join(done.withColumnRenamed("id", "up"), "up").select("id", "root_id").distinct(), "roots")
+            parts.append(new)
+            a, b = jump.alias("a"), jump.alias("b")
+            now = materialise(a.join(b, F.col("a.up") == F.col("b.id")).select("a.id", "b.up").distinct(), "jump")
+            if hasattr(jump, "_table_path"):
+                discard(jump)
+            jump = now
+            size = jump.agg(F.count_distinct("id")).first()[0]
+            if not size:
+                return materialise(reduce(DataFrame.unionByName, parts).distinct(), "reach"), None
+            if size == before:
+                return new, jump.select("id").distinct()
+            before = size
+
+    def circles(self) -> DataFrame:
+        """(id) of every node that is its own ancestor."""
         self.reach()
-        ends = materialise(self._open.select(F.col("up").alias("id")).distinct(), "ends")
-        kept = self.edges.join(ends, "id", "left_semi").join(ends.select(F.col("id").alias("parent")), "parent", "left_semi")
-        return Hierarchy(ends, kept).ancestors().filter("id = ancestor_id").select("id")
+        alone = self.edges.filter("id = parent").select("id")
+        return alone if self._labels is None else alone.unionByName(self._labels.select("id")).distinct()
 
     def ancestors(self) -> DataFrame:
         """(id, ancestor_id, distance) with the shortest distance, from 1 on.
@@ -149,7 +215,7 @@ class Hierarchy:
         ways = self.paths().groupBy("id").agg(
             F.min("depth").alias("depth"), F.max("depth").alias("max_depth"), F.count("*").alias("n_paths")
         )
-        roots = self.reach()[0].groupBy("id").agg(F.count("*").alias("n_roots"))
+        roots = self.reach().groupBy("id").agg(F.count("*").alias("n_roots"))
         below = (
             self.ancestors().filter("id <> ancestor_id").groupBy(F.col("ancestor_id").alias("id")).agg(F.count("*").alias("n_descendants"))
         )

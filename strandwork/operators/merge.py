@@ -1,33 +1,39 @@
 """Insert-ignore, upsert and constraint checks by snapshot.
 
-Tables are plain files without a transaction log, so a merge gives the next
-snapshot of the table; ``swap_in`` writes it beside the old one and then moves
-it into place, and a dry run simply does not write.
+A merge gives the next snapshot of a table; ``plans.store`` writes it and
+makes it the live one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .relational import keep_first
 
 
-def _deduplicated(new: DataFrame, keys: Sequence[str], ordinal: str | None) -> DataFrame:
-    return keep_first(new, keys, ordinal).select(*new.columns) if ordinal else new.dropDuplicates(list(keys))
+def deduplicated(new: DataFrame, keys: Sequence[str], ordinal: str | None = None) -> DataFrame:
+    """One row per key: the first by ordinal or, without one, the least by all its columns; never an arbitrary one."""
+    if ordinal:
+        return keep_first(new, keys, ordinal).select(*new.columns)
+    rest = [c for c in new.columns if c not in keys]
+    if not rest:
+        return new.distinct()
+    least = new.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("__least"))
+    return least.select(*keys, *[F.col("__least")[c].alias(c) for c in rest]).select(*new.columns)
 
 
 def insert_ignore(existing: DataFrame, new: DataFrame, keys: Sequence[str], ordinal: str | None = None) -> DataFrame:
     """existing and the rows of new whose key it has not; of equal keys in new the first counts."""
-    fresh = _deduplicated(new, keys, ordinal).join(existing.select(*keys), list(keys), "left_anti")
+    fresh = deduplicated(new, keys, ordinal).join(existing.select(*keys), list(keys), "left_anti")
     return existing.unionByName(fresh, allowMissingColumns=True)
 
 
 def upsert(existing: DataFrame, new: DataFrame, keys: Sequence[str], ordinal: str | None = None) -> DataFrame:
     """existing with the rows of new in place of those of equal key."""
-    fresh = _deduplicated(new, keys, ordinal)
+    fresh = deduplicated(new, keys, ordinal)
     return existing.join(fresh.select(*keys), list(keys), "left_anti").unionByName(fresh, allowMissingColumns=True)
 
 
@@ -37,8 +43,8 @@ def widen(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def update_column(df: DataFrame, changes: DataFrame, key: str, column: str) -> DataFrame:
-    """Keyed update of one column; rows without a change keep their value."""
-    return df.join(changes.select(key, F.col(column).alias("__new")), key, "left").withColumn(column, F.coalesce("__new", column)).drop("__new")
+    """Keyed update of one column; rows without a change keep their value, of several changes of a key the greatest counts."""
+    return df.join(changes.groupBy(key).agg(F.max(column).alias("__new")), key, "left").withColumn(column, F.coalesce("__new", column)).drop("__new")
 
 
 def violations(df: DataFrame, table: str, unique: Sequence[Sequence[str]] = (), not_null: Sequence[str] = (), parents: dict[str, tuple[DataFrame, str]] | None = None, allowed: dict[str, Sequence[str]] | None = None) -> DataFrame:
@@ -57,19 +63,3 @@ def violations(df: DataFrame, table: str, unique: Sequence[Sequence[str]] = (),
     for more in found[1:]:
         out = out.unionByName(more)
     return out.filter("n_rows > 0")
-
-
-def swap_in(spark: SparkSession, df: DataFrame, path: str, dry_run: bool = False) -> DataFrame:
-    """Replaces the table at path by df only once df is written whole."""
-    if dry_run:
-        return df
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path
-    staged, final, old = (hadoop(path + s) for s in (".staged", "", ".old"))
-    fs = final.getFileSystem(spark._jsc.hadoopConfiguration())
-    df.write.mode("overwrite").parquet(path + ".staged")
-    fs.delete(old, True)
-    if fs.exists(final):
-        fs.rename(final, old)
-    fs.rename(staged, final)
-    fs.delete(old, True)
-    return spark.read.parquet(path)

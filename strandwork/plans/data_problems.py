@@ -43,7 +43,7 @@ def term_hierarchy(spark: SparkSession, sf: str) -> Hierarchy:
 
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
     tree = term_hierarchy(spark, sf)
-    return tree.reach()[0].unionByName(tree.circles().select("id", F.lit("CYCLE").alias("root_id")))
+    return tree.reach().unionByName(tree.circles().select("id", F.lit("CYCLE").alias("root_id")))
 
 
 def p2_paths(spark: SparkSession, sf: str) -> DataFrame:

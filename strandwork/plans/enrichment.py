@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions.codes import category_rank, clean_group, clean_list, combination_key, sort_codes_text
 from ..functions.text import blank_to_null, first_filled, squeeze, strip
-from ..operators.merge import widen
+from ..operators.merge import insert_ignore, widen
 from ..operators.relational import union_all
+from ..sources.landed import xml_records
 
 NEW = ("loinc_codes", "atc_group1", "atc_group2")
 
@@ -72,22 +73,76 @@ def pending(drugs: DataFrame, cache: DataFrame) -> DataFrame:
     return rows.join(cache.select("canonical_name"), "canonical_name", "left_anti")
 
 
-def best_match(candidates: DataFrame, least_stars: int = 2) -> DataFrame:
-    """(canonical_name, chebi_id, inchikey): the candidate of most stars, of equals the first."""
-    return candidates.filter(F.col("stars") >= least_stars).groupBy("canonical_name").agg(
-        F.min_by(F.struct("chebi_id", "inchikey"), F.struct(-F.col("stars"), F.col("place"))).alias("b")
-    ).select("canonical_name", "b.*")
+def codes_by_name(codes: DataFrame) -> DataFrame:
+    """(name, codes): all codes of a name, in the order of the lists; either list may be empty."""
+    rows = codes.select(F.lower(strip(F.col("name"))).alias("name"), F.struct("line_no", "atc_code").alias("c")).filter("name <> ''")
+    return rows.groupBy("name").agg(F.transform(F.array_sort(F.collect_set("c")), lambda x: x["atc_code"]).alias("codes"))
 
 
-def enrich_landed(drugs: DataFrame, landed: DataFrame, codes: DataFrame) -> DataFrame:
-    """Identifiers of landed responses: chebi_id and inchikey replace, pubchem_cid and atc_code fill; codes back-fill by name."""
-    r = landed.select("canonical_name", *[F.col(c).alias(f"l_{c}") for c in ("chebi_id", "inchikey", "pubchem_cid", "atc_code")])
+def best_match(candidates: DataFrame, least_stars: int = 2) -> DataFrame:
+    """(canonical_name, chebi_id, inchikey): the candidate of the same name and three stars, else of the same name, else of most stars, of equals the first.
+
+    Only a candidate of the same name may have less than ``least_stars``; names
+    are compared where the candidates have a chebi_name.
+    """
+    same = F.lower("chebi_name") == F.lower(strip(F.col("canonical_name"))) if "chebi_name" in candidates.columns else F.lit(False)
+    ranked = candidates.withColumn("__same", F.coalesce(same, F.lit(False))).filter(F.col("__same") | (F.col("stars") >= least_stars))
+    order = F.struct((~(F.col("__same") & (F.col("stars") == 3))).alias("a"), (~F.col("__same")).alias("b"), F.when(~F.col("__same"), -F.col("stars")).alias("c"), F.col("place"))
+    return ranked.groupBy("canonical_name").agg(F.min_by(F.struct("chebi_id", "inchikey"), order).alias("b")).select("canonical_name", "b.*")
+
+
+def xml_candidates(pages: DataFrame, details: DataFrame) -> DataFrame:
+    """Candidates for ``best_match`` from landed search pages (key: the name sought) and landed pages of entities (key: their id)."""
+    found = xml_records(pages, "ListElement", ["chebiId", "chebiAsciiName", "entityStar"]).filter("chebiId <> ''")
+    keys = xml_records(details, "return", ["chebiId", "inchikey"]).groupBy("chebiId").agg(F.min_by("inchikey", "place").alias("inchikey"))
+    rows = found.join(keys, "chebiId", "left")
+    return rows.select(
+        F.col("key").alias("canonical_name"), "place", F.coalesce(F.col("entityStar").try_cast("int"), F.lit(0)).alias("stars"),
+        F.col("chebiId").alias("chebi_id"), F.col("chebiAsciiName").alias("chebi_name"), F.coalesce("inchikey", F.lit("")).alias("inchikey"),
+    )
+
+
+CACHED = ("chebi_id", "inchikey", "pubchem_cid", "atc_code")
+
+
+def merge_cache(cache: DataFrame, landed: DataFrame, codes: DataFrame, refresh_without: str | None = None) -> DataFrame:
+    """The cache of responses with what has landed since and codes filled in by name; cached names keep their response.
+
+    refresh_without: entries with a pubchem_cid but without this field are left
+    out, so that they are looked up again. Save it by ``save_landed``.
+    """
+    cols = ["canonical_name", *CACHED]
+    kept = cache.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) if c != "canonical_name" else F.col(c) for c in cols])
+    if refresh_without:
+        kept = kept.filter(~((F.col("pubchem_cid") != "") & (F.col(refresh_without) == "")))
+    by_name = name_to_code(codes).select(F.col("name").alias("__low"), F.col("atc_code").alias("__code"))
+
+    def filled_in(rows: DataFrame, test) -> DataFrame:
+        out = rows.withColumn("__low", F.lower(strip(F.col("canonical_name")))).join(by_name, "__low", "left")
+        return out.withColumn("atc_code", F.coalesce(F.nullif("atc_code", F.lit("")), F.when(test, F.col("__code")), F.lit(""))).select(*cols)
+
+    new = landed.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) if c != "canonical_name" else F.col(c) for c in cols])
+    # the list is asked before the response, but only if the compound was found
+    listed = filled_in(new.withColumn("atc_code", F.lit("")), F.col("pubchem_cid") != "")
+    own = new.select("canonical_name", F.col("atc_code").alias("__own"))
+    fresh = listed.join(own, "canonical_name").withColumn("atc_code", F.coalesce(first_filled(F.col("atc_code"), F.col("__own")), F.lit(""))).select(*cols)
+    return insert_ignore(filled_in(kept, F.lit(True)), fresh, ["canonical_name"])
+
+
+def enrich_landed(drugs: DataFrame, landed: DataFrame, codes: DataFrame, replace_all: bool = False) -> DataFrame:
+    """Identifiers of landed responses: chebi_id and inchikey replace, pubchem_cid and atc_code fill; codes back-fill by name.
+
+    With ``replace_all`` all four replace what is there wherever the response
+    has a value.
+    """
+    r = landed.select("canonical_name", *[F.col(c).alias(f"l_{c}") for c in CACHED])
     by_name = name_to_code(codes).select(F.col("name").alias("low"), F.col("atc_code").alias("by_name"))
     out = drugs.withColumn("low", F.lower(strip(F.col("canonical_name")))).join(r, "canonical_name", "left").join(by_name, "low", "left")
+    code = first_filled(F.col("l_atc_code"), F.when(F.col("l_pubchem_cid") != "", F.col("by_name")))
     changes = {
         "chebi_id": first_filled(F.col("l_chebi_id"), F.col("chebi_id")), "inchikey": first_filled(F.col("l_inchikey"), F.col("inchikey")),
-        "pubchem_cid": first_filled(F.col("pubchem_cid"), F.col("l_pubchem_cid")),
-        "atc_code": first_filled(F.col("atc_code"), F.col("l_atc_code"), F.when(F.col("l_pubchem_cid") != "", F.col("by_name"))),
+        "pubchem_cid": first_filled(*[F.col(c) for c in (("l_pubchem_cid", "pubchem_cid") if replace_all else ("pubchem_cid", "l_pubchem_cid"))]),
+        "atc_code": first_filled(code, F.col("atc_code")) if replace_all else first_filled(F.col("atc_code"), code),
     }
     return out.select(*[F.coalesce(changes[c], F.lit("")).alias(c) if c in changes else F.col(c) for c in drugs.columns])
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.codon import translate
 from ..functions.headers import card_fields, ncbi_accession, resfinder_fields, versionless
-from ..functions.ids import content_id, number_rows, padded_id
+from ..functions.ids import content_id, last_number, number_rows, padded_id
 from ..functions.text import first_filled
 from ..operators.relational import best_per_group, last_wins, union_all
 
@@ -48,9 +48,11 @@ def card_records(fasta: DataFrame, index: DataFrame) -> DataFrame:
 
 
 def ncbi_records(fasta: DataFrame, report: DataFrame) -> DataFrame:
-    """NCBI records with their report row: by accession as written, else without its version."""
+    """NCBI records with their report row: by accession as written, else without its version.
+
+    report: line_no and the fields of the report; of several rows of an accession the last counts.
+    """
     fields = ("refseqNucleotide", "refseqProtein", "genbankNucleotide", "genbankProtein")
-    report = report.withColumn("line_no", F.monotonically_increasing_id()) if "line_no" not in report.columns else report
     nucleotides = [F.col(f"{f}.accessionVersion") for f in ("refseqNucleotide", "genbankNucleotide")]
     keyed = report.select("*", F.explode(F.array_distinct(F.array(*nucleotides, *[versionless(c) for c in nucleotides]))).alias("key")).filter("key <> ''")
     meta = last_wins(keyed, "key", "line_no")
@@ -87,21 +89,32 @@ def resfinder_records(fasta: DataFrame, phenotypes: DataFrame, strict: bool = Fa
     ))
 
 
-def gene_table(records: DataFrame, prefix: str = "JRC") -> DataFrame:
-    return records.withColumn("jrc_id", content_id(F.col("sequence"), prefix)).withColumnRenamed("header", "original_header")
+def gene_table(records: DataFrame, prefix: str = "SEQ", chars: int = 10) -> DataFrame:
+    return records.withColumn("jrc_id", content_id(F.col("sequence"), prefix, chars)).withColumnRenamed("header", "original_header")
 
 
-def exact_clusters(genes: DataFrame, prefix: str = "CLU") -> DataFrame:
-    """(cluster_id, jrc_id, sequence, original_header): one row per distinct sequence.
+def exact_clusters(genes: DataFrame) -> DataFrame:
+    """(jrc_id, sequence, original_header, source): one row per distinct sequence.
 
     The longest header represents it; of equals the first, in the order of
-    sources and records. Ids follow the order of the sequence ids, so that they
-    do not depend on the order of loading.
+    sources and records.
     """
-    best = best_per_group(
+    return best_per_group(
         genes, ["jrc_id"], [F.length("original_header"), -F.col("source_rank"), -F.col("record_no")], ["sequence", "original_header", "source"]
     )
-    return number_rows(best, "jrc_id", chars=6).withColumn("cluster_id", padded_id(F.col("n"), prefix)).drop("n")
+
+
+def cluster_ids(sequences: DataFrame, known: DataFrame | None = None, prefix: str = "CLU", chars: int = 6) -> DataFrame:
+    """(cluster_id, representative_jrc) of every sequence: known clusters keep their id, new ones are numbered after the greatest.
+
+    New ids follow the order of the sequence ids, so that they do not depend on
+    the order of the records. chars: letters of a sequence id up to and with
+    three of its hex digits.
+    """
+    keys = sequences.select(F.col("jrc_id").alias("representative_jrc")).distinct()
+    fresh = keys if known is None else keys.join(known.select("representative_jrc"), "representative_jrc", "left_anti")
+    new = number_rows(fresh, "representative_jrc", chars).select(padded_id(F.col("n") + last_number(known, "cluster_id"), prefix).alias("cluster_id"), "representative_jrc")
+    return new if known is None else known.select("cluster_id", "representative_jrc").join(keys, "representative_jrc", "left_semi").unionByName(new)
 
 
 def sequence_metadata(genes: DataFrame, order: str = "record_no") -> DataFrame:
@@ -110,22 +123,31 @@ def sequence_metadata(genes: DataFrame, order: str = "record_no") -> DataFrame:
     return best_per_group(genes, ["jrc_id", "source"], [F.coalesce(F.length("original_header"), F.lit(-1)), -F.col(order)], carry)
 
 
-def protein_clusters(sequences: DataFrame, prefix: str = "PRT", tie: str = "max") -> tuple[DataFrame, DataFrame]:
+def translations(sequences: DataFrame) -> DataFrame:
+    """(jrc_id, n, protein_sequence, protein_md5) of the sequences that translate; n is the length of the sequence."""
+    made = sequences.select("jrc_id", F.length("sequence").alias("n"), translate(F.col("sequence")).alias("protein_sequence"))
+    return made.filter("protein_sequence IS NOT NULL").withColumn("protein_md5", F.md5("protein_sequence"))
+
+
+def protein_clusters(sequences: DataFrame, prefix: str = "PRT", tie: str = "max", known: DataFrame | None = None, chars: int = 6) -> tuple[DataFrame, DataFrame]:
     """(proteins, jrc_id → protein_id) of the sequences that translate.
 
     A protein is represented by its longest sequence; of equals by the greatest
     jrc_id, or the smallest with ``tie="min"``. Ids follow the order of the
-    proteins' smallest jrc_id.
+    proteins' smallest jrc_id. known: stored proteins; these keep their id and
+    are not among the proteins given back, which are numbered after them.
     """
-    made = sequences.select("jrc_id", F.length("sequence").alias("n"), translate(F.col("sequence")).alias("protein_sequence")).filter("protein_sequence IS NOT NULL")
-    made = made.withColumn("protein_md5", F.md5("protein_sequence"))
+    made = translations(sequences)
     top = F.max_by("jrc_id", F.struct("n", "jrc_id")) if tie == "max" else F.min_by("jrc_id", F.struct(-F.col("n"), F.col("jrc_id")))
     groups = made.groupBy("protein_md5").agg(
         F.first("protein_sequence").alias("protein_sequence"), F.min("jrc_id").alias("first_jrc"), top.alias("representative_jrc"), F.count("*").alias("n_variants")
     )
-    proteins = number_rows(groups, "first_jrc", chars=6).withColumn("protein_id", padded_id(F.col("n"), prefix))
+    fresh = groups if known is None else new_proteins(groups, known)
+    proteins = number_rows(fresh, "first_jrc", chars).withColumn("protein_id", padded_id(F.col("n") + last_number(known, "protein_id"), prefix))
     proteins = proteins.select("protein_id", "protein_md5", "protein_sequence", F.length("protein_sequence").alias("protein_length"), "representative_jrc", "n_variants")
-    return proteins, made.select("jrc_id", "protein_md5").join(proteins.select("protein_md5", "protein_id"), "protein_md5").select("jrc_id", "protein_id")
+    ids = proteins.select("protein_md5", "protein_id")
+    ids = ids if known is None else ids.unionByName(known.select("protein_md5", "protein_id"))
+    return proteins, made.select("jrc_id", "protein_md5").join(ids, "protein_md5").select("jrc_id", "protein_id")
 
 
 def new_proteins(found: DataFrame, known: DataFrame) -> DataFrame:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import blank_to_null, first_filled, normalise_name, split_literal, strip
-from ..operators.ancestry import first_ancestor
-from ..operators.relational import keep_first, last_wins, union_all
+from ..functions.text import blank_to_null, default_if_blank, first_filled, normalise_name, split_literal, strip
+from ..operators.ancestry import MAX_DEPTH, first_ancestor
+from ..operators.relational import join_distinct, keep_first, last_wins, union_all
 
 # Spellings that the sources use for one name, first and second pass.
 SPELLING = {
@@ -98,7 +100,7 @@ def gene_links(report: DataFrame) -> DataFrame:
 
 
 def ncbi_drugs(report: DataFrame) -> DataFrame:
-    rows = report.select(F.monotonically_increasing_id().alias("n"), F.posexplode(tokens(F.col("subclass"))).alias("place", "canonical_name"))
+    rows = report.select(F.col("line_no").alias("n"), F.posexplode(tokens(F.col("subclass"))).alias("place", "canonical_name"))
     return rows.select(
         F.struct(F.col("n").alias("line_no"), "place", F.lit(0).alias("part")).alias("ordinal"), "canonical_name", F.col("canonical_name").alias("source_name"),
         F.lit(False).alias("is_combination"), F.array().cast("array<string>").alias("components"), context_of(F.col("canonical_name")).alias("context"), F.lit("ncbi").alias("source"),
@@ -124,7 +126,7 @@ def merge_drugs(*sources: DataFrame) -> DataFrame:
         F.coalesce(F.min_by(F.when(F.col("context") != "clinical", F.col("context")), F.when(F.col("context") != "clinical", F.col("ordinal"))), F.lit("clinical")).alias("context"),
         F.coalesce(F.min_by("card_abbrev", F.when(blank_to_null(F.col("card_abbrev")).isNotNull(), F.col("ordinal"))), F.lit("")).alias("card_abbrev"),
         F.array_join(F.array_sort(F.collect_set("source")), "|").alias("sources"),
-    )
+    ).orderBy("canonical_name")
 
 
 def class_members(mapping: DataFrame, resfinder: DataFrame, links: DataFrame, curated: DataFrame, ontology: DataFrame | None = None) -> DataFrame:
@@ -147,15 +149,20 @@ def class_members(mapping: DataFrame, resfinder: DataFrame, links: DataFrame, cu
     first = keep_first(union_all(*every).dropDuplicates(), ["canonical_drug", "canonical_class"], "rank")
     named = mapping.select(F.trim("canonical_name").alias("canonical_class"), "aro_accession", "category").dropDuplicates(["canonical_class"])
     out = first.join(named, "canonical_class", "left").fillna("", ["aro_accession", "category"])
-    return out.select("canonical_drug", "canonical_class", "aro_accession", "category", "source")
+    return out.select("canonical_drug", "canonical_class", "aro_accession", "category", "source").orderBy("canonical_class", "canonical_drug")
 
 
 def class_targets(terms: DataFrame, mapping: DataFrame) -> DataFrame:
-    """(node, hit): terms that are a canonical class, by accession or, failing that, by name."""
-    by_id = mapping.filter("aro_accession <> ''").select(F.col("aro_accession").alias("node"), F.col("canonical_name").alias("h1"))
-    by_name = mapping.select(F.lower("canonical_name").alias("low"), F.col("canonical_name").alias("h2"))
-    named = terms.join(by_id, terms.id == by_id.node, "left").drop("node").join(by_name, F.lower("name") == F.col("low"), "left")
-    return named.select(F.col("id").alias("node"), F.coalesce("h1", "h2").alias("hit")).filter("hit IS NOT NULL").groupBy("node").agg(F.min("hit").alias("hit"))
+    """(node, hit): accessions of canonical classes, terms of the ontology or not, and terms with the name of one.
+
+    mapping: line_no, canonical_name, aro_accession. An accession counts before
+    a name; of several classes of either the last counts.
+    """
+    named = mapping.select("line_no", strip(F.col("canonical_name")).alias("hit"), strip(F.coalesce("aro_accession", F.lit(""))).alias("node"))
+    by_id = last_wins(named.filter("node <> ''"), "node", "line_no").select("node", "hit", F.lit(0).alias("way"))
+    by_name = last_wins(named.withColumn("low", F.lower("hit")), "low", "line_no").select("low", "hit")
+    found = terms.select(F.col("id").alias("node"), F.lower("name").alias("low")).join(by_name, "low").select("node", "hit", F.lit(1).alias("way"))
+    return by_id.unionByName(found).groupBy("node").agg(F.min_by("hit", F.struct("way", "hit")).alias("hit"))
 
 
 def ontology_edges(terms: DataFrame) -> DataFrame:
@@ -163,32 +170,175 @@ def ontology_edges(terms: DataFrame) -> DataFrame:
 
 
 def ontology_drugs(terms: DataFrame, mapping: DataFrame) -> DataFrame:
-    """(canonical_drug, canonical_class): live terms that are no class themselves, with the class above them."""
+    """(canonical_drug, drug_aro_accession, canonical_class, class_aro_accession, source): live named terms that are no class themselves, with the class above them."""
     targets = class_targets(terms, mapping)
-    seeds = terms.filter(~F.col("is_obsolete") & (F.size("is_a") > 0)).join(targets, terms.id == targets.node, "left_anti")
+    live = terms.filter(~F.col("is_obsolete") & (F.size("is_a") > 0) & (F.trim("name") != ""))
+    seeds = live.join(targets, terms.id == targets.node, "left_anti")
     found = first_ancestor(seeds.select("id"), ontology_edges(terms), targets)
-    return found.join(terms.select("id", F.lower("name").alias("canonical_drug")), "id").select("canonical_drug", F.col("id").alias("drug_aro_accession"), F.col("hit").alias("canonical_class"))
+    own = last_wins(mapping.select("line_no", strip(F.col("canonical_name")).alias("canonical_class"), strip(F.col("aro_accession")).alias("class_aro_accession")).filter("class_aro_accession <> ''"), "canonical_class", "line_no")
+    named = found.join(terms.select("id", F.lower(F.trim("name")).alias("canonical_drug")), "id").withColumnRenamed("hit", "canonical_class").join(own.drop("line_no"), "canonical_class", "left")
+    out = named.select("canonical_drug", F.col("id").alias("drug_aro_accession"), "canonical_class", F.coalesce("class_aro_accession", F.lit("")).alias("class_aro_accession"), F.lit("aro_obo").alias("source"))
+    return out.orderBy("canonical_class", "canonical_drug")
 
 
 def ontology_gene_classes(terms: DataFrame, mapping: DataFrame, relation: str = "confers_resistance_to_drug_class") -> DataFrame:
-    """(aro_accession, gene_name, canonical_class) by a relationship to a class, or to a term below one."""
+    """(aro_accession, gene_name, canonical_class, class_aro_accession, source) by a relationship to a class, or to a term below one.
+
+    The target itself is depth 0, so its parents begin at depth 1.
+    """
     targets = class_targets(terms, mapping)
-    links = terms.filter(~F.col("is_obsolete")).select("id", "name", F.explode("relationships").alias("r")).filter(F.col("r.type") == relation).select("id", "name", F.col("r.target").alias("target"))
-    above = first_ancestor(links.select(F.col("target").alias("id")).distinct(), ontology_edges(terms), targets).select(F.col("id").alias("target"), F.col("hit").alias("up"))
+    live = terms.filter(~F.col("is_obsolete") & (F.trim("name") != ""))
+    links = live.select("id", F.trim("name").alias("name"), F.explode("relationships").alias("r")).filter(F.col("r.type") == relation).select("id", "name", F.col("r.target").alias("target"))
+    open_ends = links.select(F.col("target").alias("id")).distinct().join(targets.select(F.col("node").alias("id")), "id", "left_anti")
+    above = first_ancestor(open_ends, ontology_edges(terms), targets, MAX_DEPTH - 1).select(F.col("id").alias("target"), F.col("hit").alias("up"))
     out = links.join(targets, links.target == targets.node, "left").join(above, "target", "left").withColumn("canonical_class", F.coalesce("hit", "up"))
-    return out.filter("canonical_class IS NOT NULL").select(F.col("id").alias("aro_accession"), F.col("name").alias("gene_name"), "canonical_class").distinct()
-
-
-def index_gene_classes(index: DataFrame, mapping: DataFrame, overrides: dict[str, str | None]) -> tuple[DataFrame, DataFrame]:
-    """(rows, unmapped counts) of the ``;`` lists of an index; an override may also drop a class (None)."""
+    rows = out.filter("canonical_class IS NOT NULL").select(F.col("id").alias("aro_accession"), F.col("name").alias("gene_name"), "canonical_class", F.col("target").alias("class_aro_accession"), F.lit("aro_obo").alias("source"))
+    return rows.distinct().orderBy("gene_name", "canonical_class")
+
+
+# Classes of the index that have another name in the list, and one that means none.
+INDEX_CLASSES = {
+    "penicillin beta-lactam": "penicillin antibiotic",
+    "sulfone antibiotic": "sulphone antibiotic",
+    "isoniazid-like antibiotic": "isonicotinic acid hydrazide",
+    "glycylcycline": "glycylcycline",
+    "disinfecting agents and antiseptics": "disinfecting agents and antiseptics",
+    "antibiotic without defined classification": None,
+}
+# Canonical classes under the name that the nested document has for them.
+DOCUMENT_CLASSES = {
+    "penicillin antibiotic": "penicillin beta-lactam",
+    "isonicotinic acid hydrazide": "isoniazid-like antibiotic",
+    "sulphone antibiotic": "sulfone antibiotic",
+}
+
+
+def index_gene_classes(index: DataFrame, mapping: DataFrame, overrides: dict[str, str | None] = INDEX_CLASSES) -> tuple[DataFrame, DataFrame]:
+    """(rows, unmapped counts) of the ``;`` lists of an index; an override may also drop a class (None).
+
+    Classes that are dropped count as unmapped like unknown ones.
+    """
     raw = index.select("*", F.explode(split_literal(F.col("Drug Class"), ";")).alias("raw")).withColumn("raw", strip(F.col("raw"))).filter("raw <> ''")
     low = F.lower("raw")
     renamed = F.create_map(*[F.lit(x) for k, v in overrides.items() if v for x in (k.lower(), v)]) if any(overrides.values()) else F.create_map().cast("map<string,string>")
     dropped = low.isin(*[k.lower() for k, v in overrides.items() if v is None]) if None in overrides.values() else F.lit(False)
     known = mapping.select(F.lower("canonical_name").alias("low"), F.col("canonical_name").alias("own"))
-    rows = raw.withColumn("gone", dropped).withColumn("low", low).join(known, "low", "left").withColumn("canonical_class", F.coalesce(F.try_element_at(renamed, F.col("low")), "own"))
-    unmapped = rows.filter("canonical_class IS NULL AND NOT gone").groupBy("raw").agg(F.count("*").alias("n_rows")).orderBy(F.desc("n_rows"), "raw")
-    return rows.filter("canonical_class IS NOT NULL AND NOT gone").drop("gone", "low", "own"), unmapped
+    rows = raw.withColumn("gone", dropped).withColumn("low", low).join(known, "low", "left").withColumn("canonical_class", F.when(~F.col("gone"), F.coalesce(F.try_element_at(renamed, F.col("low")), "own")))
+    unmapped = rows.filter("canonical_class IS NULL").groupBy("raw").agg(F.count("*").alias("n_rows")).orderBy(F.desc("n_rows"), "raw")
+    return rows.filter("canonical_class IS NOT NULL").drop("gone", "low", "own"), unmapped
+
+
+def class_mapping(curated: DataFrame, classes: DataFrame, document_names: dict[str, str] = DOCUMENT_CLASSES) -> tuple[DataFrame, DataFrame]:
+    """(mapping, names without accession): a curated list of classes with the accessions of a nested document.
+
+    curated: canonical_name and any further columns, in their order. classes:
+    aro_accession (digits) and name, as ``read_nested_classes`` gives them.
+    """
+    names = F.create_map(*[F.lit(x) for kv in document_names.items() for x in kv]) if document_names else F.create_map().cast("map<string,string>")
+    found = classes.select(F.col("name").alias("__name"), F.concat(F.lit("ARO:"), "aro_accession").alias("aro_accession"))
+    rows = curated.drop("aro_accession").withColumn("__name", F.coalesce(F.try_element_at(names, F.col("canonical_name")), "canonical_name")).join(found, "__name", "left")
+    rows = rows.withColumn("aro_accession", F.coalesce("aro_accession", F.lit("")))
+    return rows.drop("__name"), rows.filter("aro_accession = ''").select("canonical_name", F.col("__name").alias("looked_up"))
+
+
+def class_overrides(curated: DataFrame) -> DataFrame:
+    """(canonical_drug, canonical_class, notes) of curated pairs, ready to be written: blanks cut, rows without either name left out, of equal pairs the first."""
+    cut = [strip(F.coalesce(F.col(c), F.lit(""))).alias(c) for c in ("canonical_drug", "canonical_class", "notes")]
+    rows = curated.select("line_no", *cut).filter("canonical_drug <> '' AND canonical_class <> ''")
+    return keep_first(rows, ["canonical_drug", "canonical_class"], "line_no").select("canonical_drug", "canonical_class", "notes").orderBy("canonical_drug", "canonical_class")
+
+
+@dataclass
+class Load:
+    """How a vocabulary file becomes a table: its columns (new name: name in the file), the required ones, defaults and keys."""
+
+    columns: dict[str, str]
+    required: list[str]
+    keys: list[str]
+    replace: bool = True
+    defaults: dict[str, str] = field(default_factory=dict)
+    flags: list[str] = field(default_factory=list)
+    kept_blank: list[str] = field(default_factory=list)
+
+
+def _same(*names: str) -> dict[str, str]:
+    return {n: n for n in names}
+
+
+LOADS = {
+    "drug_class": Load(_same("canonical_name", "aro_accession", "category", "resfinder_alias", "ncbi_alias", "card_abbrev", "card_class_abbrev", "notes"), ["canonical_name"], ["canonical_name"]),
+    "drug": Load(
+        _same("canonical_name", "is_combination", "components", "context", "card_abbrev", "atc_code", "inchikey", "pubchem_cid", "chebi_id", "loinc_codes", "atc_group1", "atc_group2", "sources"),
+        ["canonical_name"], ["canonical_name"], defaults={"context": "clinical"}, flags=["is_combination"],
+    ),
+    "drug_alias": Load(_same("canonical_name", "alias", "alias_type", "source"), ["canonical_name", "alias"], ["canonical_name", "alias", "source"], replace=False, defaults={"alias_type": "source_name"}, kept_blank=["source"]),
+    "drug_class_member": Load(
+        {**_same("canonical_drug", "canonical_class", "aro_accession", "category"), "evidence_source": "source"}, ["canonical_drug", "canonical_class"], ["canonical_drug", "canonical_class"], defaults={"evidence_source": "curated"}
+    ),
+    "gene_drug_link": Load(_same("gene_name", "accession", "element_type", "ncbi_class_raw", "ncbi_subclass_raw", "canonical_class_token", "canonical_drug_token"), [], [], kept_blank=["gene_name"]),
+    "card_gene_class": Load(
+        _same("aro_accession", "gene_name", "card_short_name", "gene_family", "resistance_mechanism", "drug_class_raw", "canonical_class"), ["aro_accession", "canonical_class"], ["aro_accession", "canonical_class"], kept_blank=["gene_name", "drug_class_raw"]
+    ),
+}
+
+
+def vocabulary_rows(rows: DataFrame, rule: Load) -> DataFrame:
+    """The rows of a vocabulary file as its table has them.
+
+    rows: line_no and the columns of the file; columns that it lacks are null.
+    Blank cells are null, or the default; rows without a required value are
+    left out; of equal keys the first counts.
+    """
+
+    def value(name: str, source: str) -> Column:
+        c = F.col(source) if source in rows.columns else F.lit(None).cast("string")
+        if name in rule.flags:
+            return F.coalesce(strip(c) == "True", F.lit(False))
+        if name in rule.defaults:
+            return default_if_blank(c, rule.defaults[name])
+        return F.coalesce(strip(c), F.lit("")) if name in rule.kept_blank else blank_to_null(c)
+
+    out = rows.select("line_no", *[value(n, s).alias(n) for n, s in rule.columns.items()])
+    for name in rule.required:
+        out = out.filter(F.col(name).isNotNull())
+    return keep_first(out, rule.keys, "line_no").select(*rule.columns) if rule.keys else out.drop("line_no")
+
+
+def cardinalities(df: DataFrame, **names: str) -> DataFrame:
+    """n_rows and, under each name given, the number of distinct values of a column, in one aggregation."""
+    return df.agg(F.count("*").alias("n_rows"), *[F.count_distinct(c).alias(n) for n, c in names.items()])
+
+
+def drug_summary(drugs: DataFrame, members: DataFrame) -> DataFrame:
+    """(n_drugs, n_combinations, n_sources, n_classified, n_classes) of a vocabulary."""
+    source = drugs.select(F.explode(split_literal(F.col("sources"), "|")).alias("s")).agg(F.count_distinct("s").alias("n_sources"))
+    one = drugs.agg(F.count("*").alias("n_drugs"), F.count_if(F.col("is_combination").cast("string").isin("true", "True")).alias("n_combinations"))
+    classed = members.agg(F.count_distinct("canonical_drug").alias("n_classified"), F.count_distinct("canonical_class").alias("n_classes"))
+    key = lambda df: df.withColumn("__one", F.lit(1))  # noqa: E731 single rows, joined by a constant
+    return key(one).join(key(source), "__one").join(key(classed), "__one").drop("__one")
+
+
+def entry_check(listed: DataFrame, found: DataFrame, key: str = "id") -> DataFrame:
+    """(id, side, near): ids that only one of two lists has, with those of the other that share the allele or the accession.
+
+    An id reads ``gene_number_accession``: its first two pieces are the allele,
+    the rest the accession. Trailing blanks are cut. side is ``listed`` or
+    ``found``; near joins the near matches in order, and is null without any.
+    """
+
+    def keyed(df: DataFrame) -> DataFrame:
+        i = F.rtrim(F.col(key))
+        allele, accession = F.regexp_extract(i, "^([^_]*_[^_]*)", 1), F.regexp_extract(i, "^[^_]*_[^_]*_(.+)$", 1)
+        keys = F.array(F.struct(F.lit(0).alias("kind"), allele.alias("v")), F.struct(F.lit(1).alias("kind"), accession.alias("v")))
+        return df.select(i.alias("id"), F.explode(keys).alias("k")).filter("k.v <> ''").distinct()
+
+    def only(a: DataFrame, b: DataFrame, side: str) -> DataFrame:
+        ids = a.select(F.rtrim(F.col(key)).alias("id")).distinct()
+        missing = ids.join(b.select(F.rtrim(F.col(key)).alias("id")).distinct(), "id", "left_anti")
+        near = keyed(missing.withColumnRenamed("id", key)).join(keyed(b).withColumnRenamed("id", "other"), "k").groupBy("id").agg(join_distinct(F.col("other"), " ").alias("near"))
+        return missing.join(near, "id", "left").select("id", F.lit(side).alias("side"), "near")
+
+    return only(listed, found, "listed").unionByName(only(found, listed, "found"))
 
 
 def unclassified(drugs: DataFrame, members: DataFrame, limit: int = 30) -> DataFrame:

@@ -51,15 +51,31 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
+def _application_dir(spark: SparkSession) -> str:
+    """This application's part of the shared folder, which its driver deletes when it ends."""
+    folder = f"{shared_dir(spark)}/strandwork-{spark.sparkContext.applicationId}"
+    if folder not in _folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+        _folders.add(folder)
+    return folder
+
+
+_folders: set[str] = set()
+
+
 def materialise(df: DataFrame, name: str = "t") -> DataFrame:
     """Writes df as a table in the shared folder and reads it back.
 
     Unlike ``checkpoint`` the plan runs once, the files are columnar and
     compressed, and their size is known to the planner, which then broadcasts
     the table only if that size permits. Any executor can be lost afterwards.
+    Tables that ``discard`` has not deleted go when the application ends.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{_application_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._table_path = path

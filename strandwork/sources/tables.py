@@ -9,15 +9,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import strip
+from .lines import first_line, numbered, put_text
 
 
 def _lines(spark: SparkSession, path: str, header: Sequence[str] | None) -> tuple[DataFrame, list[str]]:
-    rows = spark.read.text(path).select(F.monotonically_increasing_id().alias("line_no"), F.regexp_replace("value", "\r$", "").alias("value"))
+    rows = numbered(spark, path).select("line_no", F.regexp_replace("value", "\r$", "").alias("value"))
     if header is not None:
         return rows, list(header)
-    first = rows.orderBy("line_no").first()
-    names = first.value.split("\t") if first else []
-    return rows.filter(F.col("line_no") > (first.line_no if first else -1)), names
+    first = (first_line(spark, path) or "").rstrip("\r")
+    return rows.filter(F.col("value") != first), first.split("\t") if first else []  # every file may begin with the header
 
 
 def read_raw(spark: SparkSession, path: str, header: Sequence[str] | None = None) -> DataFrame:
@@ -34,11 +34,17 @@ def read_padded(spark: SparkSession, path: str, header: Sequence[str] | None = N
     return cells.select("line_no", *[F.get("c", F.lit(i)).alias(n) for i, n in enumerate(names)])
 
 
-def read_quoted(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """Tab-separated with a header and CSV quoting; empty cells are empty strings, not null."""
+def read_quoted(spark: SparkSession, path: str, schema: T.StructType | str | None = None, place: str | None = None) -> DataFrame:
+    """Tab-separated with a header and CSV quoting; empty cells are empty strings, not null.
+
+    place: name of a column that tells the order of the rows (a quoted cell may
+    hold line breaks, so a file is read by one task, from its start to its end).
+    """
     reader = spark.read.option("sep", "\t").option("header", True).option("escape", '"').option("multiLine", True)
     df = (reader.schema(schema) if schema else reader).csv(path)
     text = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+    if place:
+        df = df.select(F.struct(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("row")).alias(place), "*")
     return df.fillna("", text)
 
 
@@ -48,7 +54,7 @@ def read_ragged_classes(spark: SparkSession, path: str) -> DataFrame:
     Blank lines, comments, the header and entries under development are
     skipped; the second cell is a placeholder.
     """
-    rows = spark.read.text(path).select(F.monotonically_increasing_id().alias("line_no"), strip(F.col("value")).alias("value"))
+    rows = numbered(spark, path).select("line_no", strip(F.col("value")).alias("value"))
     cells = rows.filter((F.col("value") != "") & ~F.col("value").startswith("#")).select("line_no", F.split("value", "\t", -1).alias("c"))
     named = cells.withColumn("class_raw", strip(F.get("c", F.lit(0)))).filter(~F.col("class_raw").isin("Class", "UNDER_DEVELOPMENT"))
     drugs = F.slice("c", F.lit(3), F.greatest(F.size("c") - 2, F.lit(0)))
@@ -63,8 +69,15 @@ REPORT = (
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: str = REPORT, strict: bool = False) -> DataFrame:
-    """JSON lines; bad ones are dropped, or fail the read if ``strict``."""
-    return spark.read.schema(schema).option("mode", "FAILFAST" if strict else "DROPMALFORMED").json(path)
+    """line_no and the fields of JSON lines; bad lines are dropped, or fail the read if ``strict``. Blank lines do not count."""
+    rows = numbered(spark, path).filter(F.col("value").rlike(r"\S"))
+    if strict:
+        parsed = rows.select("line_no", F.from_json("value", schema, {"mode": "FAILFAST"}).alias("v"))
+    else:
+        bad = "__bad"
+        parsed = rows.select("line_no", F.from_json("value", f"{schema}, {bad} string", {"columnNameOfCorruptRecord": bad}).alias("v"))
+        parsed = parsed.filter(f"v IS NOT NULL AND v.{bad} IS NULL").withColumn("v", F.col("v").dropFields(bad))
+    return parsed.select("line_no", "v.*")
 
 
 def read_landed(spark: SparkSession, path: str, key: str, schema: str) -> DataFrame:
@@ -74,6 +87,20 @@ def read_landed(spark: SparkSession, path: str, key: str, schema: str) -> DataFr
     return parsed.filter("m IS NOT NULL").select(F.explode("m").alias(key, "v")).select(key, "v.*")
 
 
+def save_landed(df: DataFrame, path: str, key: str) -> None:
+    """Writes responses as the JSON object that ``read_landed`` reads, put in place by one move.
+
+    For a cache of service responses, which is as small as the list of names
+    it was asked for; rows without a key are left out, the last row in order of
+    all fields counts where a key occurs twice.
+    """
+    fields = [c for c in df.columns if c != key]
+    one = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.max(F.struct(*fields)).alias("v"))
+    whole = one.agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct(key, "v"))))).alias("value"))
+    text = whole.first().value or "{}"
+    put_text(df.sparkSession, path, text)
+
+
 def write_table(df: DataFrame, path: str, columns: Sequence[str], distinct: bool = False) -> None:
     """One tab-separated file with a header; columns not named are left out. For vocabularies, which are small."""
     out = df.select(*columns)

@@ -12,19 +12,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.merge import insert_ignore, swap_in, upsert
+from ..plans.store import Store
 
 
-def merge_stream(spark: SparkSession, source: DataFrame, table_path: str, keys: Sequence[str], checkpoint: str, replace: bool = True):
-    """Starts a query that merges ``source`` into the table; ``replace`` says whether new rows replace old ones."""
-
-    def merge(batch: DataFrame, _: int) -> None:
-        place = spark._jvm.org.apache.hadoop.fs.Path(table_path)
-        exists = place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
-        old = spark.read.parquet(table_path) if exists else batch.limit(0)
-        swap_in(spark, (upsert if replace else insert_ignore)(old, batch, keys), table_path)
-
-    return source.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def merge_stream(source: DataFrame, store: Store, name: str, keys: Sequence[str], checkpoint: str, replace: bool = True):
+    """Starts a query that merges ``source`` into a table of the store; ``replace`` says whether new rows replace old ones."""
+    return source.writeStream.foreachBatch(lambda batch, _: store.merge(name, batch, keys, replace) and None).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def watch_parquet(spark: SparkSession, folder: str, schema) -> DataFrame:

@@ -10,10 +10,12 @@ from strandwork.operators.ancestry import first_ancestor
 from strandwork.operators.badrows import assemble_records, bad_headers, good_rows, header_reason, parse_record, parse_records, read_delimited
 from strandwork.operators.components import connected_classes
 from strandwork.operators.hierarchy import Hierarchy
-from strandwork.operators.merge import insert_ignore, swap_in, update_column, upsert, violations
+from strandwork.operators.reachable import reachable
+from strandwork.operators.merge import insert_ignore, update_column, upsert, violations
 from strandwork.operators.multivalue import _sequential, explode_packed, split_column
 from strandwork.operators.orphans import Bits, Link, orphan_references
 from strandwork.operators.relational import any_key_join, best_per_group, join_distinct, tiered_lookup
+from strandwork.plans.store import Store
 
 
 def day(n):
@@ -107,7 +109,7 @@ def test_hierarchy_against_plain_walk(spark):
     up, reach = plain_reach(edges)
     roots = {x for x in up if not up[x]} | {"alone"}
     want = {(x, r) for x in up for r in (reach[x] | {x}) & roots} | {("alone", "alone")}
-    assert rows(tree.reach()[0].select("id", "root_id")) == want
+    assert rows(tree.reach().select("id", "root_id")) == want
     assert rows(tree.circles()) == {(x,) for x in up if x in reach[x]}
     assert rows(tree.ancestors().select("id", "ancestor_id")) == {(x, y) for x in up for y in reach[x]}
     ring = {x for x in up if x in reach[x]}
@@ -126,12 +128,34 @@ def test_hierarchy_against_plain_walk(spark):
     assert s["c1"].in_circle and s["c1"].depth is None and s["alone"].depth == 0 and s["n0"].n_descendants == len([x for x in up if "n0" in reach[x]])
 
 
+def test_tangled_circles(spark):
+    """Circles that share nodes, that no single way leads round, and rings of some length."""
+    rng = random.Random(9)
+    edges = [(f"t{rng.randrange(14):02}", f"t{rng.randrange(14):02}") for _ in range(24)]
+    edges += [(f"r{i:02}", f"r{(i + 1) % 40:02}") for i in range(40)] + [("r05", "t03"), ("low", "r07"), ("t02", "top")]
+    # the ring b1 b2 b3 is followed by neither the least nor the greatest parent
+    edges += [(f"b{i}", x) for i in (1, 2, 3) for x in ("a0", "z0", f"b{i % 3 + 1}")]
+    tree = graph(spark, edges)
+    up, reach = plain_reach(edges)
+    roots = {x for x in up if not up[x]}
+    assert rows(tree.reach().select("id", "root_id")) == {(x, r) for x in up for r in (reach[x] | {x}) & roots}
+    assert rows(tree.circles()) == {(x,) for x in up if x in reach[x]}
+
+
+def test_reachable(spark):
+    links = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("x", "y"), ("b", None)], "id string, to string")
+    seeds = spark.createDataFrame([("a",), ("q",)], "id string")
+    assert rows(reachable(links, seeds)) == {("a",), ("b",), ("c",), ("q",)}
+    apart = seeds.withColumn("s", F.col("id")).union(spark.createDataFrame([("x", "x")], "id string, s string"))
+    assert {r for r in rows(reachable(links, apart, "s")) if r[1] == "x"} == {("x", "x"), ("y", "x")}
+
+
 def test_deep_chain_and_empty_graph(spark):
     tree = graph(spark, [(f"{i:03}", f"{i - 1:03}") for i in range(1, 70)])
-    assert tree.reach()[0].filter("root_id = '000'").count() == 70
+    assert tree.reach().filter("root_id = '000'").count() == 70
     empty = spark.createDataFrame([], "id string, parent string")
     none = Hierarchy(empty, empty)
-    assert none.reach()[0].count() == 0 and none.circles().count() == 0 and none.paths().count() == 0 and none.ancestors().count() == 0
+    assert none.reach().count() == 0 and none.circles().count() == 0 and none.paths().count() == 0 and none.ancestors().count() == 0
 
 
 def test_first_ancestor_is_depth_first(spark):
@@ -254,8 +278,10 @@ def test_merges_are_idempotent(spark, tmp_path):
     assert rows(once) == {(1, "a"), (2, "B"), (3, "C")} == rows(upsert(once, new, ["k"]))
     assert rows(update_column(old, new, "k", "v")) == {(1, "a"), (2, "B")}
     path = str(tmp_path / "t")
-    swap_in(spark, old, path)
-    assert rows(swap_in(spark, upsert(spark.read.parquet(path), new, ["k"]), path)) == rows(once)
-    assert swap_in(spark, old, str(tmp_path / "dry"), dry_run=True) is old and not (tmp_path / "dry").exists()
+    store = Store(spark, path)
+    store.put("t", old)
+    assert rows(store.merge("t", new, ["k"], replace=True)) == rows(once) == rows(store.read("t"))
+    dry = Store(spark, path, dry_run=True)
+    assert dry.put("d", old) is old and dry.read("d") is old and Store(spark, path).read("d") is None
     bad = violations(once, "t", [["k"]], ["v"], {"k": (old, "k")}, {"v": ["a", "B", "C"]})
     assert rows(bad) == {("t", "foreign key k", 1)}
