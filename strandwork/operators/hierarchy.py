@@ -21,47 +21,47 @@ from ..session import discard, materialise
 SEP = "/"
 
 
-def _followed_circles(links: DataFrame) -> DataFrame:
-    """(id, label) of the nodes on circles of two nodes or more that following one parent leads round; label is the circle's least id.
+def _followed_circles(links: DataFrame) -> DataFrame | None:
+    """None, or (id, label) of the nodes on circles of two nodes or more that following one parent leads round; label is the circle's least id.
 
     Every node follows its least parent and, apart from that, its greatest, so
-    there are two pointers a node in every round. Ends when the number of nodes
-    that pointers end on no longer falls: the pointers then map these nodes onto
-    themselves, so all of them lie on circles.
+    there are two pointers a node in every round; a pointer carries the least id
+    of the nodes it passes, its start among them. When the number of nodes that
+    pointers end on no longer falls, the pointers map these nodes onto
+    themselves, so all of them lie on circles; when pointers from these all end
+    where the same least id is known, it is that of the whole circle.
     """
     ways = F.explode(F.array(F.struct(F.lit(0).alias("way"), F.min("parent").alias("up")), F.struct(F.lit(1).alias("way"), F.max("parent").alias("up"))))
-    first = materialise(links.groupBy("id").agg(ways.alias("w")).select("w.way", "id", "w.up"), "follow")
-    jump, before = first, None
+    jump, before, n = links.groupBy("id").agg(ways.alias("w")).select("w.way", "id", "w.up", F.col("id").alias("label")), None, None
     while True:
-        n, ends = jump.agg(F.count("*"), F.count_distinct("way", "up")).first()
+        now = materialise(_twice(_twice(jump)), "follow", F.lit(True))
+        if hasattr(jump, "_table_path"):
+            discard(jump)
+        fewer, jump = now.n_counted != n, now
+        n = now.n_counted
         if not n:
-            return first.limit(0).select("id", F.col("id").alias("label"))
+            return None
+        if fewer:  # some ways still run out
+            continue
+        ends = jump.select("way", "up").distinct().count()
         if ends == before:
-            break
+            on = jump.select("way", F.col("up").alias("id")).distinct()
+            ring = jump.join(on, ["way", "id"]).join(jump.select("way", F.col("id").alias("up"), F.col("label").alias("theirs")), ["way", "up"])
+            if ring.filter("label <> theirs").isEmpty():
+                break
         before = ends
-        a, b = jump.alias("a"), jump.alias("b")
-        now = materialise(a.join(b, (F.col("a.way") == F.col("b.way")) & (F.col("a.up") == F.col("b.id"))).select("a.way", "a.id", "b.up"), "follow")
-        if jump is not first:
-            discard(jump)
-        jump = now
-    on = jump.select("way", F.col("up").alias("id")).distinct()
-    ring = materialise(first.join(on, ["way", "id"]).select("way", "id", "up", F.col("id").alias("label")), "ring")
-    for old in {id(t): t for t in (first, jump)}.values():
-        discard(old)
-    while True:  # the least id of the next 2^k nodes round the circle, until it no longer changes
-        ahead = ring.select("way", F.col("id").alias("up"), F.col("up").alias("next"), F.col("label").alias("theirs"))
-        now = materialise(ring.join(ahead, ["way", "up"]).select("way", "id", F.col("next").alias("up"), F.least("label", "theirs").alias("label"), (F.col("theirs") < F.col("label")).alias("moved")), "ring")
-        moved = not now.filter("moved").isEmpty()
-        discard(ring)
-        ring = now.drop("moved")
-        ring._table_path = now._table_path
-        if not moved:
-            break
     # a node may lie on one circle by each way: such a circle of the second way waits for the next turn
-    one = ring.filter("way = 0").select("id", "label")
-    two = ring.filter("way = 1").select("id", "label")
+    one, two = ring.filter("way = 0").select("id", "label"), ring.filter("way = 1").select("id", "label")
     met = two.join(one.select("id"), "id", "left_semi").select("label").distinct()
-    return materialise(one.unionByName(two.join(met, "label", "left_anti").select("id", "label")), "circle")
+    out = materialise(one.unionByName(two.join(met, "label", "left_anti").select("id", "label")), "circle")
+    discard(jump)
+    return out
+
+
+def _twice(jump: DataFrame) -> DataFrame:
+    """Pointers of twice the span; those that run out are gone."""
+    ahead = jump.select("way", F.col("id").alias("up"), F.col("up").alias("next"), F.col("label").alias("theirs"))
+    return jump.join(ahead, ["way", "up"]).select("way", "id", F.col("next").alias("up"), F.least("label", "theirs").alias("label"))
 
 
 class Hierarchy:
@@ -86,7 +86,7 @@ class Hierarchy:
     def _contract(self, links: DataFrame, within: DataFrame) -> DataFrame | None:
         """links with each circle found among ``within`` made one node, or None if there is none; remembers what was put together."""
         found = _followed_circles(within)
-        if found.isEmpty():
+        if found is None:
             return None
         own = found.select("id", F.col("label").alias("a"))
         theirs = found.select(F.col("id").alias("parent"), F.col("label").alias("b"))
@@ -101,15 +101,18 @@ class Hierarchy:
     def reach(self) -> DataFrame:
         """(id, root_id) for every root above each node. A root reaches itself; a node all of whose ways end in circles has no row."""
         if self._reach is None:
-            straight = materialise(self.edges.filter("id <> parent"), "links")
+            straight = self.edges.filter("id <> parent")
             links = self._contract(straight, straight) or straight
+            found, todo = materialise(self._starts().select("id", F.col("id").alias("root_id")), "roots"), links
             while True:
-                found, left = self._double(links)
+                found, left = self._double(found, todo)
                 if left is None:
                     break
-                # circles that no single way led round: each unresolved node has an unresolved parent to follow
+                # circles that no single way led round: each of these nodes has one of them as parent to follow
                 inner = links.join(left, "id", "left_semi").join(left.select(F.col("id").alias("parent")), "parent", "left_semi")
                 links = self._contract(links, inner)
+                left = left.join(self._labels, "id", "left").select(F.coalesce("label", "id").alias("id")).distinct()
+                todo = links.join(left, "id", "left_semi")
             if self._labels is not None:
                 # the members of a circle reach what it reaches; it stands among them under the least of their ids
                 ring = self._labels.join(found.withColumnRenamed("id", "label"), "label").select("id", "root_id")
@@ -117,30 +120,32 @@ class Hierarchy:
             self._reach = found
         return self._reach
 
-    def _double(self, links: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-        """(id, root_id) by pointers that double their span, and the (id) of nodes whose pointers never run out, or None.
+    @staticmethod
+    def _double(found: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+        """found, (id, root_id), with the roots above the nodes of links, by pointers that double their span; and the (id) of those whose pointers never run out, or None.
 
-        Roots found are only added to; the pointers left are those that span
-        2^k links in full. If as many nodes have one after a round as before,
-        each of them has a parent that has one, so these ways never end.
+        found holds all roots of the nodes that links lead to and not from.
+        Roots are only added to; the pointers left are those that span 2^k links
+        in full. If as many nodes have one after two rounds as before, each of
+        them has a parent that has one, so these ways never end: what was found
+        for them is not kept.
         """
-        parts = [materialise(self._starts().select("id", F.col("id").alias("root_id")), "starts")]
-        jump, before = links.select("id", F.col("parent").alias("up")), None
+        parts, jump, before, turn = [found], links.select("id", F.col("parent").alias("up")), None, 0
         while True:
-            done = reduce(DataFrame.unionByName, parts)
-            new = materialise(jump.join(done.withColumnRenamed("id", "up"), "up").select("id", "root_id").distinct(), "roots")
-            parts.append(new)
-            a, b = jump.alias("a"), jump.alias("b")
-            now = materialise(a.join(b, F.col("a.up") == F.col("b.id")).select("a.id", "b.up").distinct(), "jump")
-            if hasattr(jump, "_table_path"):
-                discard(jump)
-            jump = now
-            size = jump.agg(F.count_distinct("id")).first()[0]
-            if not size:
-                return materialise(reduce(DataFrame.unionByName, parts).distinct(), "reach"), None
-            if size == before:
-                return new, jump.select("id").distinct()
-            before = size
+            done = reduce(DataFrame.unionByName, parts).select(F.col("id").alias("up"), F.col("root_id").alias("next"), F.lit(True).alias("root"))
+            ahead = done.unionByName(jump.select(F.col("id").alias("up"), F.col("up").alias("next"), F.lit(False).alias("root")))
+            now = materialise(jump.join(ahead, "up").select("id", "next", "root").distinct(), "reach", ~F.col("root"))
+            parts.append(now.filter("root").select("id", F.col("next").alias("root_id")))
+            jump, turn = now.filter("NOT root").select("id", F.col("next").alias("up")), turn + 1
+            if not now.n_counted:
+                return materialise(reduce(DataFrame.unionByName, parts).distinct(), "roots"), None
+            if turn % 2:
+                continue
+            n = jump.select("id").distinct().count()
+            if n == before:
+                left = materialise(jump.select("id").distinct(), "open")
+                return materialise(reduce(DataFrame.unionByName, parts).join(left, "id", "left_anti").distinct(), "roots"), left
+            before = n
 
     def circles(self) -> DataFrame:
         """(id) of every node that is its own ancestor."""

@@ -9,7 +9,8 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -66,19 +67,24 @@ def _application_dir(spark: SparkSession) -> str:
 _folders: set[str] = set()
 
 
-def materialise(df: DataFrame, name: str = "t") -> DataFrame:
+def materialise(df: DataFrame, name: str = "t", count: Column | None = None) -> DataFrame:
     """Writes df as a table in the shared folder and reads it back.
 
     Unlike ``checkpoint`` the plan runs once, the files are columnar and
     compressed, and their size is known to the planner, which then broadcasts
     the table only if that size permits. Any executor can be lost afterwards.
     Tables that ``discard`` has not deleted go when the application ends.
+    count: a condition; the rows that meet it are counted as they are written,
+    without a job of their own, and are found in ``n_counted``.
     """
     spark = df.sparkSession
     path = f"{_application_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    seen = Observation()
+    (df if count is None else df.observe(seen, F.count_if(count).alias("n"))).write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._table_path = path
+    if count is not None:
+        out.n_counted = seen.get["n"]
     return out
 
 
