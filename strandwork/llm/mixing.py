@@ -6,28 +6,31 @@ shares closely. The texts of a source, shuffled by a hash, form an endless
 stream (one pass after another, each in another order) that is cut into blocks
 of equal tokens; slot j of a source takes its block j.
 
-Running totals come from counts per (source, pass, hash bucket), a few
-thousand numbers, and a window within each bucket: no source is ever ordered by
+Running totals come from counts per (source, pass, hash bucket) and a window
+within each bucket of some ``ORDER_ROWS`` texts: no source is ever ordered by
 one task. The schedule is computed in chunks, again with only counts per chunk
-ordered together.
+ordered together. Of the sources only their numbers and weights reach the
+driver, sixteen bytes each; names and totals stay in a table.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.ids import number_rows
 from ..functions.text import strip
 from ..session import materialise
 
 GOLDEN = (math.sqrt(5) - 1) / 2
-BLOCK_TOKENS = 8192
-LEAST_SLOTS = 512
-ORDER_BUCKETS = 256
+BLOCK_TOKENS = 2048  # a mixture of n such blocks keeps every share within about 1 / n
+ORDER_ROWS = 65_536
 CHUNK = 4096
-MAX_SOURCES = 1000
 
 
 def source_key(c: Column) -> Column:
@@ -47,36 +50,34 @@ class Mixture:
     def __init__(self, sizes: DataFrame, targets: DataFrame, block_tokens: int = BLOCK_TOKENS, seed: int = 0):
         wanted = targets.select(source_key(F.col("source")).alias("source"), F.col("target_share").cast("double").alias("share"), F.coalesce(F.col("max_repeats").cast("int"), F.lit(1)).alias("repeats"))
         wanted = wanted.filter("source IS NOT NULL AND share > 0 AND repeats > 0").groupBy("source").agg(F.sum("share").alias("share"), F.max("repeats").alias("repeats"))
-        rows = wanted.orderBy("source").limit(MAX_SOURCES + 1).collect()
-        if len(rows) > MAX_SOURCES:
-            raise ValueError(f"more than {MAX_SOURCES} sources to mix")
-        self.targets = {r.source: (r.share, r.repeats) for r in rows}
-        names = list(self.targets) or [""]
-        mine = sizes.select("doc_id", source_key(F.col("source")).alias("source"), "n_tokens").filter(F.col("source").isin(names) & (F.col("n_tokens") > 0))
-        self.sizes = materialise(mine, "sizes")
-        self.seed = seed
-        self.totals = {r.source: r.t for r in self.sizes.groupBy("source").agg(F.sum("n_tokens").alias("t")).collect()}
-        live = {s: w for s, w in self.targets.items() if self.totals.get(s)}
-        whole = sum(w for w, _ in live.values())
-        self.weights = {s: w / whole for s, (w, _) in live.items()}
+        self.wanted = materialise(wanted, "wanted")
+        mine = sizes.select("doc_id", source_key(F.col("source")).alias("source"), "n_tokens").filter("n_tokens > 0")
+        self.sizes = materialise(mine.join(self.wanted.select("source"), "source", "left_semi").select("doc_id", "source", "n_tokens"), "sizes")
+        self.seed, self.block = seed, block_tokens
+        totals = self.sizes.groupBy("source").agg(F.sum("n_tokens").alias("total"), F.count("*").alias("n_texts"))
+        held = self.wanted.join(totals, "source")
+        whole = held.agg(F.sum("share")).first()[0]
+        #: source, share, repeats, total, n_texts, weight and number of the sources that have texts.
+        self.live = materialise(number_rows(held.withColumn("weight", F.col("share") / F.lit(whole)), "source", name="number"), "live")
+        limit, texts = self.live.agg(F.min(F.col("total") * F.col("repeats") / F.col("weight")), F.sum("n_texts")).first()
         #: Tokens of the largest mixture in which no text is used too often.
-        self.size = min((self.totals[s] * r / self.weights[s] for s, (_, r) in live.items()), default=0)
-        self.block = max(1, min(block_tokens, int(self.size) // LEAST_SLOTS))
-        self.slots = int(self.size) // self.block
+        self.size = limit or 0
+        self.slots = math.ceil(self.size / self.block)
+        self.buckets = math.ceil((texts or 1) / ORDER_ROWS)
 
     def schedule(self) -> DataFrame:
         """(slot, source, block): which block of which source each slot takes."""
         spark = self.sizes.sparkSession
-        u = (F.col("slot").cast("double") + 0.5) * GOLDEN
-        u = u - F.floor(u)
-        pick, edge = None, 0.0
-        for s, w in self.weights.items():
-            edge += w
-            pick = (F.when(u < edge, s) if pick is None else pick.when(u < edge, s))
-        last = list(self.weights)[-1] if self.weights else None
-        slots = spark.range(self.slots if self.weights else 0).select(F.col("id").alias("slot"))
-        slots = slots.withColumn("source", pick.otherwise(last) if pick is not None else F.lit(None).cast("string"))
-        slots = slots.withColumn("chunk", F.floor(F.col("slot") / CHUNK))
+        weights = self.live.select("number", "weight").toPandas().sort_values("number").weight.to_numpy()
+        sent = spark.sparkContext.broadcast(np.cumsum(weights)[:-1])
+
+        def pick(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for f in frames:
+                u = (f.id.to_numpy() + 0.5) * GOLDEN
+                yield pd.DataFrame({"slot": f.id, "number": np.searchsorted(sent.value, u - np.floor(u), "right") + 1})
+
+        drawn = spark.range(self.slots).mapInPandas(pick, "slot long, number long")
+        slots = drawn.join(self.live.select("number", "source"), "number").withColumn("chunk", F.floor(F.col("slot") / CHUNK))
         before = Window.partitionBy("source").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
         base = slots.groupBy("source", "chunk").agg(F.count("*").alias("n")).withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0)))
         within = Window.partitionBy("source", "chunk").orderBy("slot")
@@ -87,15 +88,11 @@ class Mixture:
 
         offset is where the text starts in the source's stream.
         """
-        need = {s: self.weights[s] * self.size for s in self.weights}
-        passes = {s: min(self.targets[s][1], max(1, math.ceil(need[s] / self.totals[s]))) for s in self.weights}
-        table = lambda d, kind: F.create_map(*[x for k, v in d.items() for x in (F.lit(k), F.lit(v).cast(kind))])
-        if not passes:
-            return self.sizes.limit(0).select("source", "doc_id", F.lit(0).alias("use"), "n_tokens", F.lit(0).cast("long").alias("block"), F.lit(0).cast("long").alias("offset"))
-        use = F.explode(F.sequence(F.lit(0), table(passes, "int")[F.col("source")] - 1)).alias("use")
-        rows = self.sizes.filter(F.col("source").isin(list(passes))).select("*", use)
+        passes = F.least(F.col("repeats"), F.greatest(F.lit(1), F.ceil(F.col("weight") * F.lit(float(self.size)) / F.col("total")))).cast("int")
+        times = self.live.select("source", passes.alias("passes"))
+        rows = self.sizes.join(times, "source").select("source", "doc_id", "n_tokens", F.explode(F.sequence(F.lit(0), F.col("passes") - 1)).alias("use"))
         h = F.xxhash64("doc_id", "use", F.lit(self.seed))
-        rows = rows.withColumn("h", h).withColumn("bucket", F.pmod(F.shiftrightunsigned("h", 32), F.lit(ORDER_BUCKETS)))
+        rows = rows.withColumn("h", h).withColumn("bucket", F.pmod(F.shiftrightunsigned("h", 32), F.lit(self.buckets)))
         part = Window.partitionBy("source", "use", "bucket")
         order = part.orderBy("h", "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
         sums = rows.groupBy("source", "use", "bucket").agg(F.sum("n_tokens").alias("t"))
@@ -117,11 +114,11 @@ class Mixture:
 
     def report(self) -> DataFrame:
         """(source, target_share, actual_share, n_tokens, n_available, n_uses, most_uses), one row per wanted source."""
-        spark = self.sizes.sparkSession
         per_text = self.mixed().groupBy("source", "doc_id").agg(F.sum("n_tokens").alias("t"), F.count("*").alias("uses"))
         got = per_text.groupBy("source").agg(F.sum("t").alias("n_tokens"), F.sum("uses").alias("n_uses"), F.max("uses").alias("most_uses"))
-        whole = Window.partitionBy()  # one row per wanted source
-        rows = [(s, float(w), int(self.totals.get(s) or 0), r) for s, (w, r) in self.targets.items()]
-        wanted = spark.createDataFrame(rows, "source string, target_share double, n_available long, max_repeats int")
-        out = wanted.join(got, "source", "left").fillna(0, ["n_tokens", "n_uses", "most_uses"])
-        return out.withColumn("actual_share", F.col("n_tokens") / F.greatest(F.sum("n_tokens").over(whole), F.lit(1)))
+        got = materialise(got, "got")
+        whole = got.agg(F.sum("n_tokens")).first()[0] or 1
+        named = self.wanted.select("source", F.col("share").alias("target_share"), F.col("repeats").alias("max_repeats"))
+        out = named.join(self.live.select("source", F.col("total").alias("n_available")), "source", "left").join(got, "source", "left")
+        out = out.fillna(0, ["n_available", "n_tokens", "n_uses", "most_uses"]).select("source", "target_share", "n_available", "max_repeats", "n_tokens", "n_uses", "most_uses")
+        return out.withColumn("actual_share", F.col("n_tokens") / F.lit(whole))

@@ -11,8 +11,8 @@ rest on fills it.
 Which batches there are follows from the bucket counts alone and is worked out
 on the driver in a number of steps that depends on the number of buckets, not
 of texts. Texts find their container by their rank within the bucket, computed
-from counts per (bucket, salt) and a window within each, so that no bucket is
-ever sorted by one task.
+from counts per (bucket, salt) and a window within each of some ``SALT_ROWS``
+texts, so that no bucket is ever sorted by one task.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from ..session import materialise
 
 CAPACITY = 2048
 BUCKETS = 256
-SALTS = 64
+SALT_ROWS = 65_536
 
 
 def length_buckets(lengths: np.ndarray, counts: np.ndarray, buckets: int = BUCKETS) -> np.ndarray:
@@ -102,20 +102,20 @@ def pack(sizes: DataFrame, capacity: int = CAPACITY, buckets: int = BUCKETS) ->
     at = np.searchsorted(bounds, lengths)
     plan = plan_batches(bounds, np.bincount(at, counts, len(bounds)).astype(np.int64), capacity)
     edges = F.array(*[F.lit(int(b)) for b in bounds]) if len(bounds) else F.array(F.lit(capacity))
+    salts = -(-int(counts.sum()) // SALT_ROWS) or 1
     coded = items.withColumn("bucket", F.size(F.filter(edges, lambda b: b < F.col("n_tokens")))).withColumn(
-        "salt", F.pmod(F.xxhash64("doc_id", "part"), F.lit(SALTS))
+        "salt", F.pmod(F.xxhash64("doc_id", "part"), F.lit(salts))
     )
-    share = coded.groupBy("bucket", "salt").agg(F.count("*").alias("n")).toPandas().sort_values(["bucket", "salt"])  # buckets x salts rows
-    share["offset"] = share.groupby("bucket").n.cumsum() - share.n
-    offset = {(b, s): o for b, s, o in zip(share.bucket, share.salt, share.offset)}
+    before = Window.partitionBy("bucket").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
+    base = coded.groupBy("bucket", "salt").agg(F.count("*").alias("n")).withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
     runs = {int(k): g.sort_values("rank_from")[["rank_from", "per_container", "first_container"]].to_numpy() for k, g in plan.groupby("bucket")}
     one = Window.partitionBy("bucket", "salt").orderBy("doc_id", "part")
-    ranked = coded.withColumn("rank", F.row_number().over(one) - 1)
+    ranked = coded.withColumn("rank", F.row_number().over(one) - 1).join(base, ["bucket", "salt"]).withColumn("rank", F.col("rank") + F.col("base"))
 
     def place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             out = np.zeros(len(f), np.int64)
-            rank = f["rank"].to_numpy() + np.array([offset[x] for x in zip(f.bucket, f.salt)], np.int64)
+            rank = f["rank"].to_numpy()
             for b in f.bucket.unique().tolist():
                 mine = (f.bucket == b).to_numpy()
                 run = runs[b][np.searchsorted(runs[b][:, 0], rank[mine], "right") - 1]

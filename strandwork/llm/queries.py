@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.components import connected_classes
 from ..session import table
-from .canonical import build_dictionary, canonicalise, report
+from .canonical import build_dictionaries, canonicalise, report
 from .mixing import Mixture
 from .oracles import ORACLES  # noqa: F401
 from .neardup import NearDuplicates
@@ -41,7 +41,7 @@ def p5_groups(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _canonical(spark: SparkSession, sf: str) -> DataFrame:
-    return canonicalise(table(spark, sf, "gene"), "gene_id", ["drug_class", "amr_subclass"], build_dictionary(table(spark, sf, "class_mapping")), single=["amr_subclass"])
+    return canonicalise(table(spark, sf, "gene"), "gene_id", ["drug_class", "amr_subclass"], build_dictionaries(table(spark, sf, "class_mapping")), single=["amr_subclass"])
 
 
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:

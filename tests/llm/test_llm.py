@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strandwork.llm import neardup, sentences
-from strandwork.llm.canonical import UNMATCHED, build_dictionary, canonicalise, distance, report
+from strandwork.llm.canonical import UNMATCHED, build_dictionaries, build_dictionary, canonicalise, distance, report
 from strandwork.llm.mixing import Mixture
 from strandwork.llm.neardup import EDITS, NearDuplicates, _pack, _seed_rows, _unpack, edit_distance, moved_distance, radius, signatures, within_reach
 from strandwork.llm.packing import fill_report, length_buckets, pack, plan_batches
@@ -285,6 +285,24 @@ def test_typed_names(spark, names):
     assert nothing.look_up("LSP") == UNMATCHED and nothing.look_up("long " * 5000) == UNMATCHED
 
 
+def test_frequency_decides_between_equally_near_names(spark):
+    data = [("bleomycin", "Bleomycin", "BLEOMYCIN", None), ("cleomycin", None, None, None), ("quaternary ammonium salt", None, None, None), ("dleomycix", "gleomycix", None, None), ("hleomycix", "kleomycix", None, None)]
+    d = build_dictionary(spark.createDataFrame(data, "canonical_name string, resfinder_alias string, ncbi_alias string, card_class_abbrev string"))
+    assert d.look_up("fleomycin") == "bleomycin" and d.look_up("fleomycix") == UNMATCHED
+    assert d.look_up("quaternry amonium salt") == "quaternary ammonium salt" and d.look_up("quaternaryammonium salt") == "quaternary ammonium salt"
+
+
+def test_a_list_in_blocks_is_one_list(spark, names):
+    whole = build_dictionary(names)
+    assert len(list(build_dictionaries(names, max_keys=3000))) == 4 and len(list(build_dictionaries(names))) == 1
+    values = [*TYPED, "tumplyxquorinx", "giomfly"]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)] + [(99, values[0])], "k long, a string")
+    got = canonicalise(df, "k", ["a"], build_dictionaries(names, max_keys=3000))
+    assert sorted((r.k, r.canonical_name) for r in got.collect()) == sorted([(i, whole.look_up(v)) for i, v in enumerate(values)] + [(99, whole.look_up(values[0]))])
+    nothing = canonicalise(df, "k", ["a"], build_dictionaries(names.limit(0)))
+    assert {r.canonical_name for r in nothing.collect()} == {UNMATCHED}
+
+
 def test_weighted_distance():
     assert distance("abcd", "abcd", 3) == 0 and distance("abcd", "acbd", 3) == 0.7 and distance("abcd", "abbcd", 3) == 0.7
     assert distance("a", "abcdefgh", 2) == 3
