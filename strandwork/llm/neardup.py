@@ -10,15 +10,9 @@ whose lengths lie within the radius is compared: no pair is left to chance, and
 the work grows with the square of the collection. The bits that a tile has in
 common with another are one product of matrices.
 
-``sampled_candidates`` is the cheap way for collections where that is too dear,
-and no query uses it: tiles are formed of sequences that share a seed, one of
-about ``SEEDS`` 18-letter words chosen by hash, the same ones in every sequence
-that holds them. A pair whose edits leave no such word in common is not found.
-A seed shared by few sequences gives its pairs directly; the members of a hot
-seed are sorted by length and cut into tiles.
-
 Equal texts are one entry: duplicates are dropped on the map side before every
-shuffle and led back to their representative at the end.
+shuffle and led back to their representative at the end. Texts are known by
+128 bits of their hash, and numbered once.
 """
 
 from __future__ import annotations
@@ -32,17 +26,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialise
+from ..functions.ids import number_rows
+from ..session import discard, materialise
 
 EDITS = 0.08  # edits per letter of the longer text
-SEEDS = 16
-SEED_LETTERS = 18
-FEW = 4  # a text with less sampled seeds gets all its words
-SHORT, SHORT_LETTERS = 110, 6  # below this length every 6-letter word is a seed, which misses nothing
-OVERLAP = 100
 WORD = 6
-BUCKET, TILE = 64, 512
-WHOLE_TILE = 8192  # texts in a tile of the whole collection
+TILE = 8192  # texts in a tile
 LETTERS_UP_TO = ((1200, 6), (3500, 7))  # longest text that words of so many letters tell apart; 8 beyond
 CELLS = 2**23  # signature bits held at once
 MOVES = 8  # moved blocks that the radius allows for
@@ -50,13 +39,6 @@ CODE = np.zeros(256, np.uint8)
 CODE[list(b"ACGT")] = [0, 1, 2, 3]
 PURE = np.zeros(256, bool)
 PURE[list(b"ACGT")] = True
-MIX = np.uint64(0x9E3779B97F4A7C15)
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * MIX
-    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return x ^ (x >> np.uint64(32))
 
 
 def _words(codes: np.ndarray, k: int) -> np.ndarray:
@@ -73,124 +55,10 @@ def _words(codes: np.ndarray, k: int) -> np.ndarray:
         size *= 2
 
 
-def _letters(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes of a string column and the row offsets in them."""
-    _, offsets, data = column.buffers()
-    off = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
-    d = np.frombuffer(data, np.uint8)[off[0] : off[-1]] if len(column) and off[-1] > off[0] else np.zeros(0, np.uint8)
-    return d, off - off[0]
-
-
-def _seed_rows(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(row, seed) of a batch of texts. Other letters than ACGT count as A, as in signatures; a text with less than ``FEW`` seeds gets all its words."""
-    d, off = _letters(column)
-    size = np.diff(off)
-    row = np.repeat(np.arange(len(size)), size)
-    codes = CODE[d]
-    rows, seeds = [], []
-    for k, wanted in ((SEED_LETTERS, size >= OVERLAP), (SHORT_LETTERS, size < SHORT)):
-        if len(d) < k or not wanted.any():
-            continue
-        w = _words(codes, k)
-        r = row[: len(w)]
-        ok = (row[k - 1 :] == r) & wanted[r]
-        if k == SEED_LETTERS:
-            h = _mix(w + np.uint64(1))
-            share = np.minimum(1.0, SEEDS / np.maximum(1, size - k + 1))
-            drawn = ok & ((h >> np.uint64(11)).astype(np.float64) < share[r] * 2.0**53)
-            few = np.bincount(r[drawn], minlength=len(size)) < FEW
-            ok &= drawn | few[r]
-        else:
-            h = _mix(w + (np.uint64(1) << np.uint64(62)))
-        rows.append(r[ok])
-        seeds.append(h[ok])
-    if not rows:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    return np.concatenate(rows), np.concatenate(seeds)
-
-
-def _seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seen: set[int] = set()
-    for batch in batches:
-        ids, fresh = batch.column(0).to_numpy(zero_copy_only=False), []
-        for i, x in enumerate(ids.tolist()):
-            if x not in seen:
-                seen.add(x)
-                fresh.append(i)
-        batch = batch.take(pa.array(fresh, pa.int64()))
-        row, seed = _seed_rows(batch.column(1))
-        ids, size = batch.column(0).to_numpy(zero_copy_only=False), np.diff(_letters(batch.column(1))[1])
-        # a word that a text holds twice is one seed
-        order = np.lexsort((seed, row))
-        row, seed = row[order], seed[order]
-        first = np.ones(len(row), bool)
-        first[1:] = (row[1:] != row[:-1]) | (seed[1:] != seed[:-1])
-        row, seed = row[first], seed[first]
-        yield pa.RecordBatch.from_arrays([pa.array(seed.view(np.int64)), pa.array(ids[row]), pa.array(size[row].astype(np.int32))], names=["seed", "id", "n"])
-
-
 def _in_reach(n: np.ndarray, m: np.ndarray) -> np.ndarray:
     return np.abs(n - m) <= EDITS * np.maximum(n, m) + 1e-9
 
 
-def _bucket_pairs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows sorted by seed, length and id: pairs of small buckets, tile rows of hot ones."""
-    held = pd.DataFrame({"seed": [], "n": [], "id": []}).astype({"seed": "int64", "n": "int32", "id": "int64"})
-    hot: dict = {}  # the seed that is being cut into tiles, and its next tile
-
-    def pairs(a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "seed": 0, "tile": -1, "n": 0})
-
-    def tiles(f: pd.DataFrame) -> pd.DataFrame:
-        seed = int(f.seed.iloc[0])
-        tile = hot.get(seed, 0)
-        hot.clear()
-        number = tile + np.arange(len(f)) // TILE
-        hot[seed] = int(number[-1]) + 1
-        return pd.DataFrame({"a": f.id.to_numpy(), "b": f.id.to_numpy(), "seed": seed, "tile": number, "n": f.n.to_numpy()})
-
-    def emit(f: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        seed, ids, n = f.seed.to_numpy(), f.id.to_numpy(), f.n.to_numpy().astype(np.int64)
-        start = np.flatnonzero(np.concatenate([[True], seed[1:] != seed[:-1]])) if len(seed) else np.zeros(0, np.int64)
-        size = np.diff(np.concatenate([start, [len(seed)]]))
-        out = []
-        begun = np.array([int(x) in hot for x in seed[start]], bool)  # what is left of a hot seed, whatever its size
-        for x in start[begun].tolist():
-            yield tiles(f.iloc[x : x + size[start == x][0]])
-        start, size = start[~begun], size[~begun]
-        for s in np.unique(size[size > 1]).tolist():
-            at = start[size == s]
-            if s > BUCKET:
-                for x in at.tolist():
-                    yield tiles(f.iloc[x : x + s])
-                continue
-            i, j = np.triu_indices(s, 1)
-            for part in np.array_split(at, max(1, len(at) * len(i) // 500_000)):
-                grid = part[:, None] + np.arange(s)
-                a, b = ids[grid][:, i].ravel(), ids[grid][:, j].ravel()
-                near = _in_reach(n[grid][:, i].ravel(), n[grid][:, j].ravel()) & (a != b)
-                out.append(pairs(a[near], b[near]))
-        if out:
-            yield pd.concat(out).drop_duplicates()
-
-    for frame in frames:
-        f = pd.concat([held, frame]) if len(held) else frame
-        f = f[~f.duplicated(["seed", "id"])]
-        last = f.seed.iloc[-1] if len(f) else 0
-        rest = f.seed.to_numpy() == last
-        held = f[rest]
-        if len(held) >= 8 * TILE or (len(held) and int(last) in hot and len(held) >= TILE):
-            whole = len(held) // TILE * TILE
-            yield tiles(held.iloc[:whole])
-            held = held.iloc[whole:]
-        yield from emit(f[~rest])
-    if len(held):
-        if int(held.seed.iloc[0]) in hot:
-            yield tiles(held)
-        else:
-            yield from emit(held)
-
-
 def signatures(texts: list[bytes]) -> np.ndarray:
     """Bit sets of the 6-letter words, 64 words of 64 bits each."""
     out = np.zeros((len(texts), 4**WORD // 64), np.uint64)
@@ -411,6 +279,59 @@ def moved_distance(a: bytes, b: bytes, most: int, loose: bool = False, anchor: i
     return cost
 
 
+def parse_distance(a: bytes, b: bytes, most: int, jump: int = 2) -> int:
+    """Upper bound of the edits from a to b where a moved block counts as one, for any number and size of moved blocks.
+
+    b is read from left to right as pieces of a, letters edited at a price of
+    one each; going on at another place of a costs ``jump`` edits. Of the pieces
+    found, those that the longest rising chain of their places leaves out were
+    moved; letters of a that no piece uses were deleted, those used more than
+    once were inserted. Gives up, with ``most`` + 1, where more is spent than
+    ``most`` edits and the jumps of ``MOVES`` moved blocks.
+    """
+    x, n, m = np.frombuffer(a, np.uint8), len(a), len(b)
+    place = np.arange(n + 1, dtype=np.int32)
+    cost = np.empty((m + 1, n + 1), np.int32)
+    cost[0] = 0
+    best = np.empty(m, np.int64)  # where it is cheapest to jump from
+    for j in range(m):
+        d = cost[j]
+        best[j] = d.argmin()
+        ready = np.minimum(d, d[best[j]] + jump)
+        step = ready + 1
+        np.minimum(step[1:], ready[:-1] + (x != b[j]), out=step[1:])
+        cost[j + 1] = np.minimum.accumulate(step - place) + place
+        if j % 64 == 63 and cost[j + 1].min() > most + 3 * jump * MOVES:
+            return most + 1
+    i, j, spent = int(cost[m].argmin()), m, 0
+    pieces, high = [], i
+    while j > 0:
+        d, now = cost[j - 1], cost[j, i]
+        if i and cost[j, i - 1] + 1 == now:
+            i, spent = i - 1, spent + 1
+            continue
+        differs = i and a[i - 1] != b[j - 1]
+        if i and min(d[i - 1], d[best[j - 1]] + jump) + differs == now:
+            i, spent = i - 1, spent + int(differs)
+        else:
+            spent += 1
+        j -= 1
+        if j and cost[j, best[j]] + jump < cost[j, i]:
+            pieces.append((i, high))
+            i = high = int(best[j])
+    pieces.append((i, high))
+    chain: list[int] = []
+    times = np.zeros(n + 1, np.int64)
+    real = [p for p in reversed(pieces) if p[1] > p[0]]
+    for low, high in real:
+        times[low] += 1
+        times[high] -= 1
+        at = bisect_left(chain, low)
+        chain[at : at + 1] = [low]
+    used = np.cumsum(times)[:n]
+    return spent + int((used == 0).sum() + np.maximum(used - 1, 0).sum()) + len(real) - len(chain)
+
+
 def _without(text: bytes, low: int, high: int, gone: list[tuple[int, int]]) -> bytes:
     """text[low:high] without the blocks that were moved."""
     out = []
@@ -427,7 +348,7 @@ def within_reach(a: bytes, b: bytes) -> bool:
         return False
     if len(a) == len(b) and np.count_nonzero(np.frombuffer(a, np.uint8) != np.frombuffer(b, np.uint8)) <= most:
         return True
-    return any(moved_distance(x, y, most, loose, anchor) <= most for anchor in (ANCHOR, 8) for loose in (False, True) for x, y in ((a, b), (b, a))) or edit_distance(a, b) <= most
+    return any(moved_distance(x, y, most, loose, anchor) <= most for anchor in (ANCHOR, 8) for loose in (False, True) for x, y in ((a, b), (b, a))) or edit_distance(a, b) <= most or parse_distance(a, b, most) <= most or parse_distance(b, a, most) <= most
 
 
 def _verify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -475,17 +396,19 @@ def _number_tiles(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Rows of a range of lengths, sorted: the tile of each."""
     seen = 0
     for f in frames:
-        tile = (seen + np.arange(len(f))) // WHOLE_TILE
+        tile = (seen + np.arange(len(f))) // TILE
         seen += len(f)
-        yield pd.DataFrame({"seed": 0, "tile": f.part.to_numpy().astype(np.int64) << 32 | tile, "id": f.id.to_numpy(), "n": f.n.to_numpy()})
+        yield pd.DataFrame({"tile": f.part.to_numpy().astype(np.int64) << 32 | tile, "id": f.id.to_numpy(), "n": f.n.to_numpy()})
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seen: set[int] = set()
+    """(h, key, n, text) with the text packed, only once for each that a task meets more than once."""
+    seen: set[str] = set()
     for batch in batches:
-        ids = batch.column(0).to_pylist()
-        texts = [_pack(t.encode()) if i not in seen and not seen.add(i) else None for i, t in zip(ids, batch.column(2).to_pylist())]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.binary())], names=["id", "key", "text"])
+        hashes = batch.column(0).to_pylist()
+        letters = [t.encode() for t in batch.column(2).to_pylist()]
+        texts = [_pack(t) if h not in seen and not seen.add(h) else None for h, t in zip(hashes, letters)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([len(t) for t in letters], pa.int32()), pa.array(texts, pa.binary())], names=["h", "key", "n", "text"])
 
 
 class NearDuplicates:
@@ -498,41 +421,34 @@ class NearDuplicates:
 
     def __init__(self, df: DataFrame, key: str, text: str):
         rows = df.select(F.col(key).cast("string").alias("key"), F.upper(F.col(text)).alias("seq")).filter("key IS NOT NULL AND seq <> ''")
-        self.rows = rows.withColumn("id", F.xxhash64("seq"))
-
-    def _texts(self) -> DataFrame:
-        """(id, key, text): one row per different text, its smallest key."""
-        packed = self.rows.select("id", "key", "seq").mapInArrow(_packed, "id long, key string, text binary")
-        return packed.groupBy("id").agg(F.min("key").alias("key"), F.max("text").alias("text"))
+        self.rows = rows.withColumn("h", F.md5("seq"))
+        self._table: DataFrame | None = None
+
+    def texts(self) -> DataFrame:
+        """(id, key, n, text): one row per different text, its smallest key, its length and packed letters."""
+        if self._table is None:
+            packed = self.rows.select("h", "key", "seq").mapInArrow(_packed, "h string, key string, n int, text binary")
+            one = packed.groupBy("h").agg(F.min("key").alias("key"), F.first("n").alias("n"), F.max("text").alias("text"))
+            held = materialise(one, "packed")
+            ids = number_rows(held.select("h"), "h", name="id")
+            self._table = materialise(held.join(ids, "h").select("id", "key", "n", "text"), "texts")
+            discard(held)
+        return self._table
 
     def candidates(self) -> DataFrame:
         """(a, b): ids of all texts whose lengths and signatures lie within the radius."""
-        sizes = self.rows.select("id", F.octet_length("seq").alias("n")).distinct()
-        ranges = sizes.repartitionByRange("n", "id").sortWithinPartitions("n", "id").select(F.spark_partition_id().alias("part"), "id", "n")
-        return self._tiled(materialise(ranges.mapInPandas(_number_tiles, "seed long, tile long, id long, n int"), "tiles"))
-
-    def sampled_candidates(self) -> DataFrame:
-        """(a, b): ids of texts that share a seed, hot seeds compared by tiles; pairs without one are missing."""
-        seeds = self.rows.select("id", "seq").mapInArrow(_seeds, "seed long, id long, n int")
-        buckets = seeds.repartition("seed").sortWithinPartitions("seed", "n", "id").select("seed", "n", "id")
-        found = buckets.mapInPandas(_bucket_pairs, "a long, b long, seed long, tile long, n int")
-        found = materialise(found.groupBy("a", "b", "seed", "tile").agg(F.max("n").alias("n")), "pairs")
-        pairs = found.filter("tile < 0").select("a", "b")
-        hot = found.filter("tile >= 0").select("seed", "tile", F.col("a").alias("id"), "n")
-        return pairs if hot.isEmpty() else pairs.unionByName(self._tiled(hot)).distinct()
-
-    def _tiled(self, hot: DataFrame) -> DataFrame:
-        span = hot.groupBy("seed", "tile").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+        ranges = self.texts().select("id", "n").repartitionByRange("n", "id").sortWithinPartitions("n", "id").select(F.spark_partition_id().alias("part"), "id", "n")
+        tiles = materialise(ranges.mapInPandas(_number_tiles, "tile long, id long, n int"), "tiles")
+        span = tiles.groupBy("tile").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
         a, b = span.alias("a"), span.alias("b")
-        joined = a.join(b, (F.col("a.seed") == F.col("b.seed")) & (F.col("a.tile") <= F.col("b.tile")) & (F.col("b.lo") * (1 - EDITS) <= F.col("a.hi") + 1e-6))
-        work = joined.select("a.seed", F.col("a.tile").alias("t1"), F.col("b.tile").alias("t2"))
+        work = a.join(b, (F.col("a.tile") <= F.col("b.tile")) & (F.col("b.lo") * (1 - EDITS) <= F.col("a.hi") + 1e-6)).select(F.col("a.tile").alias("t1"), F.col("b.tile").alias("t2"))
         sides = work.select("*", F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("t1").alias("tile")), F.struct(F.lit(1).alias("side"), F.col("t2").alias("tile")))).alias("s")).filter("s.side = 0 OR t1 < t2")
-        members = sides.select("seed", "t1", "t2", "s.*").join(hot.select("seed", "tile", "id"), ["seed", "tile"])
-        return members.join(self._texts().select("id", "text"), "id").groupBy("seed", "t1", "t2").applyInPandas(_compare_tiles, "a long, b long")
+        members = sides.select("t1", "t2", "s.*").join(tiles.select("tile", "id"), "tile")
+        return members.join(self.texts().select("id", "text"), "id").groupBy("t1", "t2").applyInPandas(_compare_tiles, "a long, b long")
 
     def representatives(self) -> DataFrame:
         """(key_a, key_b), the smaller first: pairs of different texts within reach."""
-        texts = self._texts()
+        texts = self.texts()
         one = texts.select(F.col("id").alias("a"), F.col("key").alias("key_a"), F.col("text").alias("text_a"))
         two = texts.select(F.col("id").alias("b"), F.col("key").alias("key_b"), F.col("text").alias("text_b"))
         pairs = self.candidates().join(one, "a").join(two, "b").select("key_a", "key_b", "text_a", "text_b")
@@ -541,8 +457,8 @@ class NearDuplicates:
 
     def copies(self) -> DataFrame:
         """(key_a, key_b): each copy of a text with its representative."""
-        groups = self.rows.groupBy("id").agg(F.min("key").alias("key_a"), F.count("*").alias("n")).filter("n > 1")
-        return self.rows.select("id", F.col("key").alias("key_b")).join(groups, "id").filter("key_a <> key_b").select("key_a", "key_b").distinct()
+        groups = self.rows.groupBy("h").agg(F.min("key").alias("key_a"), F.count("*").alias("n")).filter("n > 1")
+        return self.rows.select("h", F.col("key").alias("key_b")).join(groups, "h").filter("key_a <> key_b").select("key_a", "key_b").distinct()
 
     def pairs(self) -> DataFrame:
         return self.representatives().unionByName(self.copies())
