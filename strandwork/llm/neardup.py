@@ -348,6 +348,9 @@ def within_reach(a: bytes, b: bytes) -> bool:
         return False
     if len(a) == len(b) and np.count_nonzero(np.frombuffer(a, np.uint8) != np.frombuffer(b, np.uint8)) <= most:
         return True
+    one, two = signatures([a, b])
+    if np.bitwise_count(one ^ two).sum() > radius(np.array([max(len(a), len(b))]))[0]:
+        return False
     return any(moved_distance(x, y, most, loose, anchor) <= most for anchor in (ANCHOR, 8) for loose in (False, True) for x, y in ((a, b), (b, a))) or edit_distance(a, b) <= most or parse_distance(a, b, most) <= most or parse_distance(b, a, most) <= most
 
 

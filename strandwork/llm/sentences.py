@@ -1,10 +1,12 @@
 """Sentence boundaries across languages and scripts.
 
-Blank lines, list items and the blanks of Thai are certain boundaries. The
-other places where a sentence may end (after a mark that can close one) are
-decided by a hidden-event n-gram model: it scores the text with and without a
-boundary token after the mark, given the word before and the word after, and
-forward-backward posteriors over all places of a unit decide.
+Blank lines and list items are certain boundaries. Between words a hidden-event
+n-gram model decides: it scores the text with and without a boundary token,
+given what stands before and after the place, and forward-backward posteriors
+over all places of a unit decide. After a mark that can close a sentence the
+words on both sides count; at a blank without a mark, in any script, the shapes
+of the words do. Where sentences of a script close with marks, a blank is hardly
+ever a boundary, and the model finds so; in scripts without such marks it is.
 
 The model is trained on the corpus itself, without labels. Every certain unit
 shows how sentences begin and end; how often a context occurs at certain ends,
@@ -20,20 +22,22 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
-from collections.abc import Callable, Iterator
+from collections import Counter, defaultdict
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialise
+from ..session import discard, materialise
 
 RARE = 2e-6
 LEAST = 12
 ROUNDS = 12
 POINT = 2**20  # expected counts are summed in whole parts of 1 / POINT, so that their order makes no difference
+LEAST_TEXT = 80  # letters from which a unit without a closing mark is text and no heading
+LEAST_ODDS = 1e-3  # places less likely than this are left out of the lattice, where they could change no posterior by more
 SHORT = 0.05  # weight of two boundaries with less than two words between them
 HAN = "々-〇぀-ヿ㐀-䶿一-鿿豈-﫿"
 THAI = "฀-๿"
@@ -58,6 +62,8 @@ ITEM = re.compile(r"[ \t]*(?:(?P<dot>[-*•‣▪◦])|\(?(?P<no>\d{1,3})[.)])[
 ENDED = re.compile(rf"[{re.escape(TERMINALS)};:：»”“\"'’」』）)]\s*$")
 GREEK = re.compile(r"[Ͱ-Ͽἀ-῿]{3}")
 START, STOP = "<s>", "</s>"
+LETTERED = frozenset(("word", "num", "han", "thai"))
+GAP = "\x01"  # begins the contexts of places without a mark
 
 
 def units(text: str) -> list[tuple[int, int, bool]]:
@@ -110,16 +116,27 @@ def shape(kind: str, token: str) -> str:
     return f"<{script}{'U' if token.isupper() else 'C' if token[0].isupper() else 'l'}>"
 
 
+def _script(kind: str, token: str, rough: str) -> str | None:
+    """The script a token is written in; figures and identifiers tell none."""
+    if kind != "word":
+        return kind if kind != "num" else None
+    return None if rough == "<id>" else "L" if token[0] < "ɐ" else hex(ord(token[0]) >> 7)
+
+
 class Unit:
     """Tokens of a unit, and the places at which a sentence may end in it."""
 
-    __slots__ = ("spots", "first", "last", "n_words")
+    __slots__ = ("spots", "first", "last", "n_words", "gaps", "opening", "closing")
 
     def __init__(self, text: str, base: int, stop: int):
         toks = [(m.lastgroup, m.group(), m.start(), m.end()) for m in TOKEN.finditer(text, base, stop)]
         partner = _pairs(toks, text)
-        #: (end of the sentence, start of the next, context before, its shape, token after, its shape, words since the last spot, sure)
+        #: (end of the sentence, start of the next, context before, its shape, token after, its shape, words since the last spot), after marks
         self.spots: list[tuple] = []
+        #: (end of the sentence, start of the next, script and shape before, shape after), at blanks without a mark
+        self.gaps: list[tuple] = []
+        script, last_shape = "", ""
+        self.opening: tuple[str, str] | None = None
         depth_end, words, last_spot_words, n = -1, 0, 0, len(toks)
         since = base
         i = 0
@@ -147,7 +164,7 @@ class Unit:
                     continue
                 after, glued = self._after(toks, j), toks[j][2] == stop_at
                 if stop_at >= depth_end and (not glued or self._may_join(mark, close, toks, i, j)):
-                    self.spots.append((stop_at, toks[j][2], *before, *after, words - last_spot_words, False))
+                    self.spots.append((stop_at, toks[j][2], *before, *after, words - last_spot_words))
                     last_spot_words, since = words, stop_at
                 for k in range(i + 1, j):
                     if toks[k][3] >= depth_end:
@@ -155,9 +172,16 @@ class Unit:
                 prev = (before[0].rsplit(" ", 1)[-1], before[1].rsplit(" ", 1)[-1])
                 i = j
                 continue
-            if kind == "thai" and i and toks[i - 1][0] == "thai" and s > toks[i - 1][3] and s >= depth_end and not BREAK.search(text, toks[i - 1][3], s):
-                self.spots.append((toks[i - 1][3], s, "<thai>", "<thai>", *self._after(toks, i), words - last_spot_words, True))
-                last_spot_words, since = words, s
+            if kind in LETTERED:
+                here = shape(kind, tok)
+                if i and toks[i - 1][0] in LETTERED:
+                    stop_at = toks[i - 1][3]
+                    if s > stop_at and s >= depth_end and script and not BREAK.search(text, stop_at, s):
+                        self.gaps.append((stop_at, s, f"{script} {last_shape}", here))
+                script = _script(kind, tok, here) or script
+                last_shape = here
+                if self.opening is None and script:
+                    self.opening = (script, shape(toks[0][0], toks[0][1]))
             if kind in ("word", "num", "han", "thai"):
                 words += 1
             if kind == "num" and i and toks[i - 1][0] == "word":  # an ordinal or the like depends on the word before
@@ -165,11 +189,13 @@ class Unit:
             elif kind == "han" and i and toks[i - 1][0] == "han":
                 prev = (toks[i - 1][1] + tok, "<han>")
             else:
-                prev = (tok if kind == "word" and tok != "I" and not (len(tok) == 1 and tok.isupper()) else shape(kind, tok) if kind != "mark" else tok, shape(kind, tok) if kind != "mark" else tok)
+                rough = here if kind in LETTERED else tok if kind == "mark" else shape(kind, tok)
+                prev = (tok if kind == "word" and tok != "I" and not (len(tok) == 1 and tok.isupper()) else rough, rough)
             i += 1
         self.n_words = words
         self.first = self._after(toks, 0) if toks else None
         self.last = prev if toks and " " in prev[0] else None
+        self.closing = f"{script} {last_shape}" if toks and toks[-1][0] in LETTERED and script else None
 
     @staticmethod
     def _after(toks: list, j: int) -> tuple[str, str]:
@@ -236,7 +262,9 @@ class BoundaryModel:
         self.ends: dict[str, float] = {}
         self.starts: dict[str, float] = {}
         self.mark: dict[str, float] = {}
-        self.share = 0.6
+        self.share = self.rate = 0.6
+        #: Log odds of a boundary at a blank, by what stands before and after, where they are not negligible.
+        self.gaps: dict[tuple[str, str], float] = {}
         self.words_before: set[str] = set()
         self.words_after: set[str] = set()
 
@@ -260,7 +288,7 @@ class BoundaryModel:
         # certain ends per boundary inside units, from marks that hardly have another use
         sure = np.array([m in "!?" + STRONG and x[-2:-1] == " " for m, x in zip(marks, b_names)])
         rate = (at_end[sure].sum() + 1) / (n_before[sure].sum() + 2) if sure.any() else (at_end.sum() + 1) / (total * 0.6 + 2)
-        rate = max(rate, 1e-3)
+        out.rate = rate = max(rate, 1e-3)
         base_end = np.where([_is_abbreviation(x) for x in b_names], 0.03, np.where(marks == "…", 0.5, np.where(marks == ".", 0.7, 0.9)))
         base_start = np.array([_start_guess(x) for x in a_names])
 
@@ -287,6 +315,39 @@ class BoundaryModel:
             out.mark[m] = float((end[mine] * n_before[mine]).sum() / n_before[mine].sum())
         return out
 
+    def fit_gaps(self, events: Iterable[tuple[str, str, int]]) -> None:
+        """Places without a mark, from (before, after, n): inside units, and at certain starts and ends of text.
+
+        By Bayes' rule P(boundary | b, a) = P(boundary | b) P(a | boundary) / P(a | b).
+        How often b stands at certain ends, against how often before a blank
+        inside units, tells the first; certain starts in the same script tell the
+        second, and the counts inside units the third.
+        """
+        inside, ends, starts = defaultdict(Counter), Counter(), defaultdict(Counter)
+        for before, after, n in events:
+            before, after = before.lstrip(GAP), after.lstrip(GAP)
+            if after == STOP:
+                ends[before] += n
+            elif before == START:
+                script, _, first = after.partition(" ")
+                starts[script][first] += n
+            else:
+                inside[before][after] += n
+        for before, found in inside.items():
+            total, begun = found.total(), starts[before.partition(" ")[0]]
+            end = min(0.99, (ends[before] + 4 * 0.01) / (total * self.rate + 4))
+            for after, n in found.items():
+                first = (begun[after] + 0.5) / (begun.total() + 0.5 * (len(begun) + 1))
+                p = min(0.99, end * first * total / n)
+                if p >= LEAST_ODDS:
+                    self.gaps[before, after] = _logit(p)
+
+    def places(self, unit: "Unit") -> list[tuple[int, int, float, bool]]:
+        """(end of the sentence, start of the next, log odds, close to the place before) of the places of a unit, in order."""
+        out = [(x[0], x[1], self.odds(x[2], x[3], x[4], x[5]), x[6] < 2) for x in unit.spots]
+        more = [(g[0], g[1], score, False) for g in unit.gaps if (score := self.gaps.get(g[2:])) is not None]
+        return sorted(out + more) if more else out
+
     def odds(self, before: str, before_shape: str, after: str, after_shape: str) -> float:
         """Log odds of a boundary between the context before and the token after."""
         known = before in self.words_before
@@ -324,12 +385,11 @@ def _is_abbreviation(before: str) -> bool:
     return tail == "." and (word.lower() in ABBREVIATIONS and word != word.upper() or bool(re.fullmatch(r"<\w+1U>", word)))
 
 
-def posteriors(spots: list[tuple], model: BoundaryModel) -> list[float]:
-    """P(boundary) at each spot, by forward-backward over the unit."""
-    m = len(spots)
-    score = [(50.0 if x[7] else model.odds(x[2], x[3], x[4], x[5])) for x in spots]
-    p = [1 / (1 + math.exp(-max(-60.0, min(60.0, s)))) for s in score]
-    near = [1.0 if k == 0 or spots[k][6] >= 2 or spots[k][7] else SHORT for k in range(m)]
+def posteriors(places: list[tuple[int, int, float, bool]]) -> list[float]:
+    """P(boundary) at each place, by forward-backward over the unit."""
+    m = len(places)
+    p = [1 / (1 + math.exp(-max(-60.0, min(60.0, x[2])))) for x in places]
+    near = [SHORT if k and places[k][3] else 1.0 for k in range(m)]
     fore = [(1 - p[0], p[0])] if m else []
     for k in range(1, m):
         n0, n1 = fore[-1]
@@ -352,8 +412,8 @@ def split_text(text: str, model: BoundaryModel) -> list[tuple[int, int]]:
     for s, e, whole in units(text):
         cuts = []
         if not whole:
-            spots = Unit(text, s, e).spots
-            cuts = [x[:2] for x, p in zip(spots, posteriors(spots, model)) if p > 0.5]
+            places = model.places(Unit(text, s, e))
+            cuts = [x[:2] for x, p in zip(places, posteriors(places)) if p > 0.5]
         at = s
         for stop, start in [*cuts, (e, e)]:
             piece = text[at:stop]
@@ -382,7 +442,13 @@ def _events(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 if whole:
                     continue
                 u = Unit(text, s, e)
-                held.update(x[2:6] for x in u.spots if not x[7])
+                held.update(x[2:6] for x in u.spots)
+                held.update((GAP + g[2], GAP, GAP + g[3], GAP) for g in u.gaps)
+                if e - s >= LEAST_TEXT:
+                    if u.closing is not None:
+                        held[(GAP + u.closing, GAP, STOP, STOP)] += 1
+                    if u.opening is not None:
+                        held[(START, START, GAP + " ".join(u.opening), GAP)] += 1
                 if u.last is not None:  # a unit that closes with a mark is text, others are headings
                     held[(u.last[0], u.last[1], STOP, STOP)] += 1
                     if u.first is not None:
@@ -396,7 +462,9 @@ def _events(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def train(df: DataFrame, text: str = "text") -> BoundaryModel:
     """Counts all texts once and fits the model to the counts."""
     rows = df.select(F.col(text).cast("string").alias("text")).filter(F.col("text").rlike(r"\S"))
-    events = materialise(rows.mapInPandas(_events, EVENTS).groupBy("before", "before_shape", "after", "after_shape").agg(F.sum("n").alias("n")), "events")
+    every = materialise(rows.mapInPandas(_events, EVENTS).groupBy("before", "before_shape", "after", "after_shape").agg(F.sum("n").alias("n")), "events")
+    blank = F.col("before").startswith(GAP) | F.col("after").startswith(GAP)
+    events = every.filter(~blank)
     total = events.agg(F.sum("n")).first()[0] or 0
     least = max(LEAST, math.ceil(total * RARE))
 
@@ -412,7 +480,11 @@ def train(df: DataFrame, text: str = "text") -> BoundaryModel:
     )
     cells = materialise(mapped.groupBy("before", "after").agg(F.sum("n").alias("n")), "cells")
     names_before, names_after = _sums(cells, "before", F.col("after") == STOP), _sums(cells, "after", F.col("before") == START)
-    return BoundaryModel.fit(names_before, names_after, dict(map(tuple, before.collect())), dict(map(tuple, after.collect())), _expectation(cells, names_before, names_after))
+    model = BoundaryModel.fit(names_before, names_after, dict(map(tuple, before.collect())), dict(map(tuple, after.collect())), _expectation(cells, names_before, names_after))
+    model.fit_gaps(every.filter(blank).select("before", "after", "n").collect())  # pairs of shapes, of which there are some dozens a script
+    discard(every)
+    discard(cells)
+    return model
 
 
 def _sums(cells: DataFrame, column: str, certain) -> pd.DataFrame:

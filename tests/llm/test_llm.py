@@ -413,6 +413,26 @@ def test_sentences_on_held_out_texts(spark):
     assert precision > 0.98 and recall > 0.98
 
 
+def test_scripts_without_marks(spark):
+    """Sentences that only a capital letter begins, in a script whose texts have no marks, beside one whose texts have."""
+    rng = random.Random(21)
+    word = lambda letters: "".join(rng.choices(letters, k=rng.randrange(3, 8)))
+    sentence = lambda letters: " ".join([word(letters).capitalize(), *[word(letters) for _ in range(rng.randrange(4, 9))]])
+    docs, truth = [], []
+    for i in range(300):
+        marked = i % 2
+        parts = [sentence("abcdefghilmnorst" if marked else "абвгдежзиклмнорст") + ("." if marked else "") for _ in range(rng.randrange(3, 7))]
+        docs.append((i, "Heading Of It\n\n" * marked + " ".join(parts)))
+        at, spans = 15 * marked, [(0, 13)] * marked
+        for p in parts:
+            spans.append((at, at + len(p)))
+            at += len(p) + 1
+        truth.append(spans)
+    model = train(spark.createDataFrame(docs[:200], "doc_id long, text string"))
+    precision, recall = score([split_text(t, model) for _, t in docs[200:]], truth[200:])
+    assert precision > 0.98 and recall > 0.98
+
+
 def test_model_counts_every_pair_of_contexts(spark, monkeypatch):
     """A mark after one word before many different words: each pair is rare, the word is not."""
     rng = random.Random(12)
