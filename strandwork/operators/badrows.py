@@ -188,25 +188,45 @@ def bad_headers(df: DataFrame) -> DataFrame:
 
 
 def good_rows(df: DataFrame) -> DataFrame:
-    """The gene rows that parse, with all their columns.
+    """The gene rows that parse, with all their columns, in one pass."""
+    wanted = ("source", "original_header", "source_acc")
 
-    The keys of the bad ones are anti-joined; they are the smaller side.
-    """
-    return df.join(bad_headers(df).select("gene_id"), "gene_id", "left_anti")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [batch.column(c).cast(pa.string()).to_pylist() for c in wanted]
+            yield batch.filter(pa.array([not header_reason(*row) for row in zip(*texts)], pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
 
 
 def assemble_records(lines: Iterator[str], delimiter: str = "\t") -> Iterator[str]:
-    """Physical lines to records: a line goes on while a field that opened with a quote is not closed."""
+    """Physical lines to records: a line goes on while a field that opened with a quote is not closed.
+
+    Every line is looked at once. Where a quote is never closed, each of the
+    lines it would hold is a record of its own.
+    """
     held: list[str] = []
-    open_quote = re.compile(rf'(?:^|{re.escape(delimiter)})"(?:[^"]|"")*$')
+    open_field = False
+    inside = re.compile(r'(?:[^"]|"")*')
     for line in lines:
         held.append(line)
-        whole = "\n".join(held)
-        bare = re.sub(rf'(^|{re.escape(delimiter)})"(?:[^"]|"")*"(?={re.escape(delimiter)}|$)', r"\1", whole)
-        if not open_quote.search(bare):
-            yield whole
+        at = 0
+        while True:
+            if open_field:
+                at = inside.match(line, at).end()
+                if at >= len(line):
+                    break  # still open
+                at, open_field = at + 1, False  # the quote that closes it, or that makes it a broken field
+            elif line.startswith('"', at):
+                at, open_field = at + 1, True
+                continue
+            at = line.find(delimiter, at) + 1
+            if not at:
+                break
+        if not open_field:
+            yield "\n".join(held)
             held = []
-    yield from held  # never closed: every line is a record of its own
+    yield from held
 
 
 def read_delimited(spark, path: str) -> DataFrame:

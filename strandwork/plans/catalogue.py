@@ -12,14 +12,12 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.ancestry import first_ancestor
 from ..operators.relational import join_distinct, pivot_left
 from ..session import table
 from .links import card_classes, ncbi_linked_classes, ncbi_listed_classes, resfinder_classes, sequence_classes, sequence_drugs
 from .records import DESCRIPTIVE, protein_clusters, sequence_metadata
-from .vocabulary import class_lookup, normalise, tokens
-
-CLASS = "drolraemoxamide inhibitor"
-GROUP = "X"
+from .vocabulary import SOURCE_SPELLING, SPELLING, class_lookup, normalise, tokens
 
 
 class Catalogue:
@@ -70,6 +68,16 @@ class Catalogue:
         n = self.sequence_class.groupBy("jrc_id").agg(F.count("*").alias("n"))
         return n.agg(F.min_by("jrc_id", F.struct(-F.col("n"), F.col("jrc_id"))).alias("jrc_id"))
 
+    def one_class(self) -> DataFrame:
+        """The class that the lookups ask for: the one of most genes, of equals the first."""
+        n = self.card_gene_class.groupBy("canonical_class").agg(F.count("*").alias("n"))
+        return n.agg(F.min_by("canonical_class", F.struct(-F.col("n"), F.col("canonical_class"))).alias("canonical_class"))
+
+    def one_group(self) -> DataFrame:
+        """The group of codes that the lookups ask for: the one of most drugs, of equals the first."""
+        n = self.drug.filter("atc_group1 IS NOT NULL").groupBy("atc_group1").agg(F.count("*").alias("n"))
+        return n.agg(F.min_by("atc_group1", F.struct(-F.col("n"), F.col("atc_group1"))).alias("atc_group1"))
+
 
 VIEWS = f"""
 WITH toks AS (
@@ -97,6 +105,8 @@ sd AS (SELECT DISTINCT g.jrc_id, d.canonical_name AS canonical_drug, 'NCBI' AS e
   JOIN drug_canonical d ON l.canonical_drug_token = d.canonical_name WHERE g.source = 'NCBI'),
 meta AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY jrc_id, source ORDER BY coalesce(length(original_header), -1) DESC, gene_id) AS rn FROM gene) WHERE rn = 1),
 drug AS (SELECT *, nullif(substr(trim(atc_code), 1, 1), '') AS atc_group1, nullif(substr(trim(atc_code), 1, 3), '') AS atc_group2 FROM drug_canonical),
+one_class AS (SELECT arg_min(canonical_class, {{'a': -n, 'b': canonical_class}}) AS canonical_class FROM (SELECT canonical_class, count(*) AS n FROM card_gene_class GROUP BY 1)),
+one_group AS (SELECT arg_min(atc_group1, {{'a': -n, 'b': atc_group1}}) AS atc_group1 FROM (SELECT atc_group1, count(*) AS n FROM drug WHERE atc_group1 IS NOT NULL GROUP BY 1)),
 one AS (SELECT arg_min(jrc_id, {{'a': -n, 'b': jrc_id}}) AS jrc_id FROM (SELECT jrc_id, count(*) AS n FROM sdc GROUP BY 1))
 """
 
@@ -199,18 +209,21 @@ def q10_cluster_report(c):
 
 
 @query(f"""SELECT DISTINCT sdc.jrc_id, g.gene_name, sdc.canonical_class, d.canonical_name AS drug, d.atc_code, sdc.evidence_sources FROM sdc JOIN gene g ON g.jrc_id = sdc.jrc_id
-LEFT JOIN member m ON m.canonical_class = sdc.canonical_class LEFT JOIN drug d ON d.canonical_name = m.canonical_drug WHERE sdc.canonical_class = '{CLASS}'
+LEFT JOIN member m ON m.canonical_class = sdc.canonical_class LEFT JOIN drug d ON d.canonical_name = m.canonical_drug WHERE sdc.canonical_class = (SELECT canonical_class FROM one_class)
 ORDER BY g.gene_name NULLS LAST, drug NULLS LAST, sdc.jrc_id, d.atc_code NULLS LAST, sdc.evidence_sources LIMIT 20""")
 def q11_full_picture(c):
-    m = c.member.filter(F.col("canonical_class") == CLASS).join(c.drug.select(F.col("canonical_name").alias("canonical_drug"), F.col("canonical_name").alias("drug"), "atc_code"), "canonical_drug", "left").drop("canonical_drug")
-    rows = c.sequence_class.filter(F.col("canonical_class") == CLASS).join(c.gene.select("jrc_id", "gene_name").distinct(), "jrc_id").join(m, "canonical_class", "left")
+    wanted = F.broadcast(c.one_class())  # one row
+    m = c.member.join(wanted, "canonical_class", "left_semi").join(c.drug.select(F.col("canonical_name").alias("canonical_drug"), F.col("canonical_name").alias("drug"), "atc_code"), "canonical_drug", "left").drop("canonical_drug")
+    rows = c.sequence_class.join(wanted, "canonical_class", "left_semi").join(c.gene.select("jrc_id", "gene_name").distinct(), "jrc_id")
+    # all rows have the same drugs, so the first 20 answers come from the first 20 rows
+    first = rows.orderBy(F.col("gene_name").asc_nulls_last(), "jrc_id", "evidence_sources").limit(20).join(m, "canonical_class", "left")
     last = [F.col(x).asc_nulls_last() for x in ("gene_name", "drug", "jrc_id", "atc_code", "evidence_sources")]
-    return rows.select("jrc_id", "gene_name", "canonical_class", "drug", "atc_code", "evidence_sources").distinct().orderBy(*last).limit(20)
+    return first.select("jrc_id", "gene_name", "canonical_class", "drug", "atc_code", "evidence_sources").distinct().orderBy(*last).limit(20)
 
 
-@query(f"SELECT gene_name, card_short_name, gene_family, resistance_mechanism FROM card_gene_class WHERE canonical_class = '{CLASS}'")
+@query(f"SELECT gene_name, card_short_name, gene_family, resistance_mechanism FROM card_gene_class WHERE canonical_class = (SELECT canonical_class FROM one_class)")
 def q12_genes_for_class(c):
-    rows = c.card_gene_class.filter(F.col("canonical_class") == CLASS)
+    rows = c.card_gene_class.join(F.broadcast(c.one_class()), "canonical_class", "left_semi")
     return rows.select("gene_name", "card_short_name", "gene_family", "resistance_mechanism").orderBy(F.col("gene_family").asc_nulls_last(), F.col("gene_name").asc_nulls_last())
 
 
@@ -222,15 +235,15 @@ def q13_classes_of_drug(c):
     return c.member.join(F.broadcast(first), "canonical_drug").join(named, "canonical_class").select("canonical_drug", F.col("canonical_class").alias("drug_class"), "aro_accession", "category", F.lit("ncbi").alias("evidence_source"))
 
 
-@query(f"SELECT d.canonical_name, d.atc_code, d.pubchem_cid, d.inchikey, d.chebi_id FROM drug d JOIN member m ON m.canonical_drug = d.canonical_name WHERE m.canonical_class = '{CLASS}'")
+@query(f"SELECT d.canonical_name, d.atc_code, d.pubchem_cid, d.inchikey, d.chebi_id FROM drug d JOIN member m ON m.canonical_drug = d.canonical_name WHERE m.canonical_class = (SELECT canonical_class FROM one_class)")
 def q14_drugs_in_class(c):
-    m = c.member.filter(F.col("canonical_class") == CLASS).select(F.col("canonical_drug").alias("canonical_name"))
+    m = c.member.join(F.broadcast(c.one_class()), "canonical_class", "left_semi").select(F.col("canonical_drug").alias("canonical_name"))
     return c.drug.join(m, "canonical_name").select("canonical_name", "atc_code", "pubchem_cid", "inchikey", "chebi_id").orderBy("canonical_name")
 
 
-@query(f"SELECT canonical_name, atc_code, atc_group1, atc_group2, pubchem_cid, inchikey, chebi_id FROM drug WHERE atc_group1 = '{GROUP}'")
+@query(f"SELECT canonical_name, atc_code, atc_group1, atc_group2, pubchem_cid, inchikey, chebi_id FROM drug WHERE atc_group1 = (SELECT atc_group1 FROM one_group)")
 def q15_drugs_in_group(c):
-    rows = c.drug.filter(F.col("atc_group1") == GROUP)
+    rows = c.drug.join(F.broadcast(c.one_group()), "atc_group1", "left_semi")
     return rows.select("canonical_name", "atc_code", "atc_group1", "atc_group2", "pubchem_cid", "inchikey", "chebi_id").orderBy("atc_group2", "canonical_name")
 
 
@@ -325,6 +338,30 @@ def protein_translation_clusters(c):
     return protein_clusters(c.sequence)[0].select("protein_md5", F.col("protein_length").cast("long").alias("protein_length"), "representative_jrc", "n_variants")
 
 
-@query(", n AS (SELECT regexp_replace(trim(lower(canonical_name), E' \\t\\n\\r'), '\\s+', ' ', 'g') AS name FROM drug_canonical) SELECT name, count(*) AS n_rows FROM n GROUP BY name")
+def _case(column: str, names: dict[str, str]) -> str:
+    return f"CASE {column} " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in names.items()) + f" ELSE {column} END"
+
+
+@query(f""", n AS (SELECT regexp_replace(trim(lower(canonical_name), E' \\t\\n\\r'), '\\s+', ' ', 'g') AS name FROM drug_canonical), a AS (SELECT {_case('name', SPELLING)} AS name FROM n),
+b AS (SELECT {_case('name', SOURCE_SPELLING)} AS name FROM a) SELECT name, count(*) AS n_rows FROM b GROUP BY name""")
 def normalised_names(c):
     return c.drug_canonical.select(normalise(F.col("canonical_name")).alias("name")).groupBy("name").agg(F.count("*").alias("n_rows"))
+
+
+ARO = "CASE WHEN regexp_extract({0}, '[0-9]+') <> '' THEN 'ARO:' || regexp_extract({0}, '[0-9]+') END"
+
+
+@query(f""", e AS (SELECT id, parent, row_number() OVER (PARTITION BY id ORDER BY parent) - 1 AS o FROM (SELECT DISTINCT id, {ARO.format('is_a')} AS parent FROM aro_term) WHERE parent IS NOT NULL),
+h AS (SELECT min(canonical_name) AS hit, {ARO.format('aro_accession')} AS node FROM class_mapping GROUP BY 2 HAVING node IS NOT NULL),
+seed AS (SELECT DISTINCT id FROM aro_term WHERE id NOT IN (SELECT node FROM h)),
+w AS (WITH RECURSIVE r AS (SELECT e.id, e.parent AS at, [o] AS path, [e.id, e.parent] AS seen, 0 AS d FROM e JOIN seed USING (id) WHERE e.parent <> e.id
+  UNION ALL SELECT r.id, e.parent, list_append(path, o), list_append(seen, e.parent), d + 1 FROM r JOIN e ON e.id = r.at WHERE d < 8 AND NOT list_contains(seen, e.parent) AND r.at NOT IN (SELECT node FROM h)) SELECT * FROM r)
+SELECT w.id, arg_min(h.hit, w.path) AS hit FROM w JOIN h ON h.node = w.at GROUP BY w.id""")
+def term_classes(c):
+    """The class above each term, in depth-first order over terms with several parents and circles."""
+    key = lambda x: F.when(F.regexp_extract(x, "[0-9]+", 0) != "", F.concat(F.lit("ARO:"), F.regexp_extract(x, "[0-9]+", 0)))
+    parents = c.aro_term.select("id", key("is_a").alias("parent")).filter("parent IS NOT NULL").groupBy("id").agg(F.array_sort(F.collect_set("parent")).alias("p"))
+    edges = parents.select("id", F.posexplode("p").alias("ordinal", "parent"))
+    hits = c.class_mapping.select(key("aro_accession").alias("node"), "canonical_name").filter("node IS NOT NULL").groupBy("node").agg(F.min("canonical_name").alias("hit"))
+    seeds = c.aro_term.select("id").distinct().join(hits.select(F.col("node").alias("id")), "id", "left_anti")
+    return first_ancestor(seeds, edges, hits)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import ontology_key, protein_key
-from ..operators.badrows import bad_headers, parse_records
+from ..operators.badrows import bad_headers, good_rows, parse_records
 from ..operators.hierarchy import Hierarchy
 from ..operators.multivalue import explode_packed
 from ..operators.orphans import Link, orphan_references, orphan_report
@@ -77,7 +77,12 @@ def p7_loaded(spark: SparkSession, sf: str) -> DataFrame:
     return parse_records(table(spark, sf, "raw_record")).filter("reason IS NULL").drop("reason", "raw_line")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_report, p2_found, p2_paths, p2_descendants, p2_terms, p4_found, p7_found, p7_loaded)}
+def p7_genes(spark: SparkSession, sf: str) -> DataFrame:
+    """The gene rows that load; all others are in p7_found."""
+    return good_rows(table(spark, sf, "gene")).withColumn("loaded_us", F.unix_micros(F.col("loaded_at").cast("timestamp"))).drop("loaded_at")
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_report, p2_found, p2_paths, p2_descendants, p2_terms, p4_found, p7_found, p7_loaded, p7_genes)}
 VOID = "('', 'na', 'n/a', 'n.a.', 'none', 'null', 'nan', 'nil', 'unknown', 'not available', 'not applicable')"
 
 
@@ -143,7 +148,8 @@ gene_bad AS (SELECT gene_id, CASE WHEN open THEN 'quoting'
     OR source = 'NCBI' AND NOT regexp_full_match(t, '{ACC}:c?[0-9]+-[0-9]+ .*\\S.*')
     OR source = 'RESFINDER' AND NOT (us[1] <> '' AND regexp_full_match(us[2], '[0-9]+') AND regexp_full_match(replace(us[3], '~', '_'), '{ACC}'))
     OR NOT {_void('source_acc')} AND NOT regexp_full_match(regexp_replace(source_acc, '^\\s+|\\s+$', '', 'g'), '{ACC}') THEN 'value' END AS reason FROM w)
-SELECT 'raw_record' AS table_name, raw_id AS row_key, reason FROM raw WHERE reason IS NOT NULL
+"""
+P7_FOUND = """SELECT 'raw_record' AS table_name, raw_id AS row_key, reason FROM raw WHERE reason IS NOT NULL
 UNION ALL SELECT 'gene', gene_id, reason FROM gene_bad WHERE reason IS NOT NULL"""
 
 ORACLES = {
@@ -151,5 +157,6 @@ ORACLES = {
     "p1_report": P1 + "SELECT ref_table, strftime(loaded_at AT TIME ZONE 'UTC', '%Y-%m') AS period, reason, count(*) AS n_rows FROM orphans GROUP BY ALL",
     "p2_found": P2 + "SELECT up.id, root.id AS root_id FROM up JOIN root ON root.id = up.parent UNION SELECT id, id FROM root UNION SELECT id, 'CYCLE' FROM up WHERE id = parent",
     "p4_found": " UNION ALL ".join(_values(t, k, f) for t, k, f in (("gene", "gene_id", "amr_class"), ("gene", "gene_id", "amr_subclass"), ("drug_canonical", "canonical_name", "atc_code"), ("drug_canonical", "canonical_name", "components"))),
-    "p7_found": P7,
+    "p7_found": P7 + P7_FOUND,
+    "p7_genes": P7 + "SELECT gene.* EXCLUDE (loaded_at), epoch_us(loaded_at) AS loaded_us FROM gene JOIN gene_bad USING (gene_id) WHERE reason IS NULL",
 }

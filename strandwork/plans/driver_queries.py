@@ -121,9 +121,10 @@ def scalar_subquery_join(t):
     return t.supplier.join(F.broadcast(one), "s_nationkey", "left_semi").select("s_suppkey", "s_name")
 
 
-@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')")
 def anti_join_new_keys(t):
-    return t.customer.select("c_custkey").join(t.orders.select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti")
+    known = t.orders.filter("o_orderstatus = 'P'").select(F.col("o_custkey").alias("c_custkey"))
+    return t.customer.select("c_custkey").join(known, "c_custkey", "left_anti")
 
 
 @query("SELECT c_custkey, c_mktsegment FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')")
@@ -264,9 +265,11 @@ def surrogate_ids(t):
     return number_rows(rows, "h").select("h", padded_id(F.col("n"), "CLU").alias("cluster_id"))
 
 
-@query("SELECT c_custkey AS k, 'left' AS side FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders) UNION ALL SELECT DISTINCT o_custkey, 'right' FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)")
+@query("""SELECT DISTINCT protein_id AS k, 'left' AS side FROM sequence WHERE protein_id IS NOT NULL AND protein_id NOT IN (SELECT protein_id FROM protein)
+UNION ALL SELECT DISTINCT protein_id, 'right' FROM protein WHERE protein_id NOT IN (SELECT protein_id FROM sequence WHERE protein_id IS NOT NULL)""")
 def row_quality_anti(t):
-    return missing_both_ways(t.customer.select(F.col("c_custkey").alias("k")), t.orders.select(F.col("o_custkey").alias("k")), "k")
+    used = t.sequence.filter("protein_id IS NOT NULL")
+    return missing_both_ways(used.select(F.col("protein_id").alias("k")), t.protein.select(F.col("protein_id").alias("k")), "k")
 
 
 @query("""SELECT 'cluster' AS table_name, 'foreign key representative_jrc' AS rule, count(*) AS n_rows FROM cluster WHERE representative_jrc IS NOT NULL AND representative_jrc NOT IN (SELECT jrc_id FROM sequence) HAVING count(*) > 0

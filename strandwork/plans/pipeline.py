@@ -89,13 +89,13 @@ def store_links(store: Store) -> None:
         store.put("sequence_drug", sequence_drugs(gene, links, drugs))
 
 
-def load_vocabulary(store: Store, files: dict[str, str], append_links: bool = False) -> None:
+def load_vocabulary(store: Store, files: dict[str, str], append_links: bool = False, links: bool = True) -> None:
     """Loads the vocabulary tables that files names (``plans.vocabulary.LOADS``) in one transaction, then the links of sequences.
 
     Missing files leave their table as it is. Rows are upserted by key, aliases
     only added; gene links have no key: they are replaced, or with
     ``append_links`` added to. Links of sequences are built anew if there are
-    genes.
+    genes, unless ``links`` is off.
     """
     with store.transaction():
         for name, rule in LOADS.items():
@@ -108,7 +108,7 @@ def load_vocabulary(store: Store, files: dict[str, str], append_links: bool = Fa
                 store.append(name, rows)
             else:
                 store.put(name, rows)
-        if store.read("gene") is not None and all(store.read(n) is not None for n in ("drug_class", "drug", "card_gene_class", "gene_drug_link")):
+        if links and store.read("gene") is not None and all(store.read(n) is not None for n in ("drug_class", "drug", "card_gene_class", "gene_drug_link")):
             store_links(store)
 
 

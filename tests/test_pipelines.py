@@ -4,6 +4,7 @@ import urllib.error
 
 from pyspark.sql import functions as F
 
+from strandwork.__main__ import main
 from strandwork.plans import catalogue, data_problems, driver_queries
 from strandwork.plans.enrichment import best_match, codes_by_name, coverage, enrich_landed, enrich_offline, merge_cache, name_to_code, pending, xml_candidates
 from strandwork.plans.pipeline import export, ingest, load_vocabulary, run_summary, store_ingest, store_links, store_proteins, validate
@@ -348,3 +349,20 @@ def test_every_query_has_its_sql():
     assert set(catalogue.ORACLES) == set(catalogue.QUERIES)
     assert set(driver_queries.ORACLES) == set(driver_queries.QUERIES)
     assert {"p1_found", "p2_found", "p4_found", "p7_found"} <= set(data_problems.ORACLES)
+
+
+def test_command_line(spark, tmp_path, capsys):
+    fasta = put(tmp_path, "r.fsa", ">demC_1_AB000001\nATGAAATAA\n>demD_1_AB000002\nATGCCC\n")
+    folder = tmp_path / "words"
+    folder.mkdir()
+    put(folder, "drug_class.tsv", "canonical_name\tresfinder_alias\nklass one\tPen\n")
+    at = ["--store", str(tmp_path / "db")]
+    main(["ingest", *at, "--resfinder", fasta, "--vocabulary", str(folder), "--dry-run"])
+    assert "|gene" in capsys.readouterr().out and not (tmp_path / "db").exists()
+    main(["ingest", *at, "--resfinder", fasta, "--vocabulary", str(folder)])
+    main(["proteins", *at])
+    main(["validate", *at])
+    main(["export", *at, "--table", "protein", "-o", str(tmp_path / "out"), "--null", "empty"])
+    store = Store(spark, str(tmp_path / "db"))
+    assert store.names() == ["cluster", "drug_class", "gene", "protein", "sequence", "sequence_metadata"] and store.read("protein").count() == 2
+    assert "protein_md5" in "".join(p.read_text() for p in (tmp_path / "out").glob("part*"))
