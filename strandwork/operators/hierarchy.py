@@ -2,17 +2,12 @@
 
 Every round joins the pointers with themselves, so that after k rounds a
 pointer spans 2^k links; depth d takes about log2(d) rounds, whatever the
-number of rows. Circles are settled first: every node follows one of its
-parents, whose pointers, one a node, double until they only end on circles;
-each circle is then one node, and what is left has no circle that pointers
-could multiply in. All tables are pairs, written to the shared folder between
+number of rows. All tables are pairs, written to the shared folder between
 rounds (never collected), and every join is an equi-join that AQE may split.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,49 +16,6 @@ from ..session import discard, materialise
 SEP = "/"
 
 
-def _followed_circles(links: DataFrame) -> DataFrame | None:
-    """None, or (id, label) of the nodes on circles of two nodes or more that following one parent leads round; label is the circle's least id.
-
-    Every node follows its least parent and, apart from that, its greatest, so
-    there are two pointers a node in every round; a pointer carries the least id
-    of the nodes it passes, its start among them. When the number of nodes that
-    pointers end on no longer falls, the pointers map these nodes onto
-    themselves, so all of them lie on circles; when pointers from these all end
-    where the same least id is known, it is that of the whole circle.
-    """
-    ways = F.explode(F.array(F.struct(F.lit(0).alias("way"), F.min("parent").alias("up")), F.struct(F.lit(1).alias("way"), F.max("parent").alias("up"))))
-    jump, before, n = links.groupBy("id").agg(ways.alias("w")).select("w.way", "id", "w.up", F.col("id").alias("label")), None, None
-    while True:
-        now = materialise(_twice(_twice(jump)), "follow", F.lit(True))
-        if hasattr(jump, "_table_path"):
-            discard(jump)
-        fewer, jump = now.n_counted != n, now
-        n = now.n_counted
-        if not n:
-            return None
-        if fewer:  # some ways still run out
-            continue
-        ends = jump.select("way", "up").distinct().count()
-        if ends == before:
-            on = jump.select("way", F.col("up").alias("id")).distinct()
-            ring = jump.join(on, ["way", "id"]).join(jump.select("way", F.col("id").alias("up"), F.col("label").alias("theirs")), ["way", "up"])
-            if ring.filter("label <> theirs").isEmpty():
-                break
-        before = ends
-    # a node may lie on one circle by each way: such a circle of the second way waits for the next turn
-    one, two = ring.filter("way = 0").select("id", "label"), ring.filter("way = 1").select("id", "label")
-    met = two.join(one.select("id"), "id", "left_semi").select("label").distinct()
-    out = materialise(one.unionByName(two.join(met, "label", "left_anti").select("id", "label")), "circle")
-    discard(jump)
-    return out
-
-
-def _twice(jump: DataFrame) -> DataFrame:
-    """Pointers of twice the span; those that run out are gone."""
-    ahead = jump.select("way", F.col("id").alias("up"), F.col("up").alias("next"), F.col("label").alias("theirs"))
-    return jump.join(ahead, ["way", "up"]).select("way", "id", F.col("next").alias("up"), F.least("label", "theirs").alias("label"))
-
-
 class Hierarchy:
     """Trees, and graphs with several parents, given by (id, parent) rows.
 
@@ -78,80 +30,54 @@ class Hierarchy:
         links = edges.select("id", "parent").filter("id IS NOT NULL AND parent IS NOT NULL").distinct()
         self.edges = materialise(links, "edges")
         self._reach: DataFrame | None = None
-        self._labels: DataFrame | None = None
+        self._open: DataFrame | None = None
 
     def _starts(self) -> DataFrame:
         return self.nodes.join(self.edges.select("id").distinct(), "id", "left_anti")
 
-    def _contract(self, links: DataFrame, within: DataFrame) -> DataFrame | None:
-        """links with each circle found among ``within`` made one node, or None if there is none; remembers what was put together."""
-        found = _followed_circles(within)
-        if found is None:
-            return None
-        own = found.select("id", F.col("label").alias("a"))
-        theirs = found.select(F.col("id").alias("parent"), F.col("label").alias("b"))
-        moved = links.join(own, "id", "left").join(theirs, "parent", "left").select(F.coalesce("a", "id").alias("id"), F.coalesce("b", "parent").alias("parent"))
-        if self._labels is None:
-            self._labels = found
-        else:
-            again = self._labels.join(found.select(F.col("id").alias("label"), F.col("label").alias("now")), "label", "left").select("id", F.coalesce("now", "label").alias("label"))
-            self._labels = materialise(again.unionByName(found.join(self._labels.select("id"), "id", "left_anti")), "labels")
-        return materialise(moved.filter("id <> parent").distinct(), "links")
-
     def reach(self) -> DataFrame:
-        """(id, root_id) for every root above each node. A root reaches itself; a node all of whose ways end in circles has no row."""
+        """(id, root_id) for every root above each node. A root reaches itself.
+
+        A node is unresolved if its pointers never run out: going up from it can
+        lead into a circle. One all of whose ways end in circles has no row.
+
+        Ends when neither the roots found nor the set of unresolved nodes
+        changed in a round. Both are then final: of the nodes with the k-th
+        longest way up some have exactly that, so the set shrinks in every
+        round until only endless ways are left, and a root at distance d lies
+        at distance d - 1 of the next node on the way.
+        """
         if self._reach is None:
-            straight = self.edges.filter("id <> parent")
-            links = self._contract(straight, straight) or straight
-            found, todo = materialise(self._starts().select("id", F.col("id").alias("root_id")), "roots"), links
+            # (id, up, done): pointers still to follow, and roots reached
+            roots = self._starts().select("id", F.col("id").alias("up"), F.lit(True).alias("done"))
+            links = self.edges.select("id", F.col("parent").alias("up"), F.lit(False).alias("done"))
+            state, before = materialise(roots.unionByName(links), "reach"), None
             while True:
-                found, left = self._double(found, todo)
-                if left is None:
+                size = state.agg(F.count_if("done"), F.count_distinct(F.when(~F.col("done"), F.col("id")))).first()
+                if tuple(size) == before:
                     break
-                # circles that no single way led round: each of these nodes has one of them as parent to follow
-                inner = links.join(left, "id", "left_semi").join(left.select(F.col("id").alias("parent")), "parent", "left_semi")
-                links = self._contract(links, inner)
-                left = left.join(self._labels, "id", "left").select(F.coalesce("label", "id").alias("id")).distinct()
-                todo = links.join(left, "id", "left_semi")
-            if self._labels is not None:
-                # the members of a circle reach what it reaches; it stands among them under the least of their ids
-                ring = self._labels.join(found.withColumnRenamed("id", "label"), "label").select("id", "root_id")
-                found = found.join(self._labels.select("id"), "id", "left_anti").unionByName(ring)
-            self._reach = found
+                before = tuple(size)
+                a, b = state.filter("NOT done").alias("a"), state.alias("b")
+                more = a.join(b, F.col("a.up") == F.col("b.id")).select("a.id", "b.up", "b.done")
+                now = materialise(state.filter("done").unionByName(more).distinct(), "reach")
+                discard(state)
+                state = now
+            self._open = state.filter("NOT done").select("id", "up")
+            self._reach = state.filter("done").select("id", F.col("up").alias("root_id"))
         return self._reach
 
-    @staticmethod
-    def _double(found: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-        """found, (id, root_id), with the roots above the nodes of links, by pointers that double their span; and the (id) of those whose pointers never run out, or None.
+    def circles(self) -> DataFrame:
+        """(id) of every node that is its own ancestor.
 
-        found holds all roots of the nodes that links lead to and not from.
-        Roots are only added to; the pointers left are those that span 2^k links
-        in full. If as many nodes have one after two rounds as before, each of
-        them has a parent that has one, so these ways never end: what was found
-        for them is not kept.
+        Pointers that never run out end, after 2^k links, on circles or between
+        two of them (and on ways longer than 2^k into one). Every node of a
+        circle is such an end, so the closure of pairs is formed over the few
+        nodes that are.
         """
-        parts, jump, before, turn = [found], links.select("id", F.col("parent").alias("up")), None, 0
-        while True:
-            done = reduce(DataFrame.unionByName, parts).select(F.col("id").alias("up"), F.col("root_id").alias("next"), F.lit(True).alias("root"))
-            ahead = done.unionByName(jump.select(F.col("id").alias("up"), F.col("up").alias("next"), F.lit(False).alias("root")))
-            now = materialise(jump.join(ahead, "up").select("id", "next", "root").distinct(), "reach", ~F.col("root"))
-            parts.append(now.filter("root").select("id", F.col("next").alias("root_id")))
-            jump, turn = now.filter("NOT root").select("id", F.col("next").alias("up")), turn + 1
-            if not now.n_counted:
-                return materialise(reduce(DataFrame.unionByName, parts).distinct(), "roots"), None
-            if turn % 2:
-                continue
-            n = jump.select("id").distinct().count()
-            if n == before:
-                left = materialise(jump.select("id").distinct(), "open")
-                return materialise(reduce(DataFrame.unionByName, parts).join(left, "id", "left_anti").distinct(), "roots"), left
-            before = n
-
-    def circles(self) -> DataFrame:
-        """(id) of every node that is its own ancestor."""
         self.reach()
-        alone = self.edges.filter("id = parent").select("id")
-        return alone if self._labels is None else alone.unionByName(self._labels.select("id")).distinct()
+        ends = materialise(self._open.select(F.col("up").alias("id")).distinct(), "ends")
+        kept = self.edges.join(ends, "id", "left_semi").join(ends.select(F.col("id").alias("parent")), "parent", "left_semi")
+        return Hierarchy(ends, kept).ancestors().filter("id = ancestor_id").select("id")
 
     def ancestors(self) -> DataFrame:
         """(id, ancestor_id, distance) with the shortest distance, from 1 on.
