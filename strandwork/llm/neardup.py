@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ids import number_rows
-from ..session import discard, materialise
+from ..session import materialise
 
 EDITS = 0.08  # edits per letter of the longer text
 WORD = 6
@@ -401,7 +401,7 @@ def _number_tiles(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for f in frames:
         tile = (seen + np.arange(len(f))) // TILE
         seen += len(f)
-        yield pd.DataFrame({"tile": f.part.to_numpy().astype(np.int64) << 32 | tile, "id": f.id.to_numpy(), "n": f.n.to_numpy()})
+        yield pd.DataFrame({"tile": f.part.to_numpy().astype(np.int64) << 32 | tile, "id": f.id.to_numpy(), "n": f.n.to_numpy(), **({"h": f.h.to_numpy()} if "h" in f else {})})
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -425,36 +425,36 @@ class NearDuplicates:
     def __init__(self, df: DataFrame, key: str, text: str):
         rows = df.select(F.col(key).cast("string").alias("key"), F.upper(F.col(text)).alias("seq")).filter("key IS NOT NULL AND seq <> ''")
         self.rows = rows.withColumn("h", F.md5("seq"))
-        self._table: DataFrame | None = None
+        self._table: tuple[DataFrame, DataFrame] | None = None
 
-    def texts(self) -> DataFrame:
-        """(id, key, n, text): one row per different text, its smallest key, its length and packed letters."""
+    def texts(self) -> tuple[DataFrame, DataFrame]:
+        """(h, id, key, n): one row per different text, its smallest key and its length; and (h, text), its packed letters, which are written once."""
         if self._table is None:
             packed = self.rows.select("h", "key", "seq").mapInArrow(_packed, "h string, key string, n int, text binary")
             one = packed.groupBy("h").agg(F.min("key").alias("key"), F.first("n").alias("n"), F.max("text").alias("text"))
             held = materialise(one, "packed")
-            ids = number_rows(held.select("h"), "h", name="id")
-            self._table = materialise(held.join(ids, "h").select("id", "key", "n", "text"), "texts")
-            discard(held)
+            self._table = materialise(number_rows(held.select("h", "key", "n"), "h", name="id"), "texts"), held.select("h", "text")
         return self._table
 
     def candidates(self) -> DataFrame:
         """(a, b): ids of all texts whose lengths and signatures lie within the radius."""
-        ranges = self.texts().select("id", "n").repartitionByRange("n", "id").sortWithinPartitions("n", "id").select(F.spark_partition_id().alias("part"), "id", "n")
-        tiles = materialise(ranges.mapInPandas(_number_tiles, "tile long, id long, n int"), "tiles")
+        known, letters = self.texts()
+        ranges = known.select("id", "n", "h").repartitionByRange("n", "id").sortWithinPartitions("n", "id").select(F.spark_partition_id().alias("part"), "id", "n", "h")
+        tiles = materialise(ranges.mapInPandas(_number_tiles, "tile long, id long, n int, h string"), "tiles")
         span = tiles.groupBy("tile").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
         a, b = span.alias("a"), span.alias("b")
         work = a.join(b, (F.col("a.tile") <= F.col("b.tile")) & (F.col("b.lo") * (1 - EDITS) <= F.col("a.hi") + 1e-6)).select(F.col("a.tile").alias("t1"), F.col("b.tile").alias("t2"))
         sides = work.select("*", F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("t1").alias("tile")), F.struct(F.lit(1).alias("side"), F.col("t2").alias("tile")))).alias("s")).filter("s.side = 0 OR t1 < t2")
-        members = sides.select("t1", "t2", "s.*").join(tiles.select("tile", "id"), "tile")
-        return members.join(self.texts().select("id", "text"), "id").groupBy("t1", "t2").applyInPandas(_compare_tiles, "a long, b long")
+        members = tiles.select("tile", "id", "h").join(letters, "h").select("tile", "id", "text")
+        return sides.select("t1", "t2", "s.*").join(members, "tile").groupBy("t1", "t2").applyInPandas(_compare_tiles, "a long, b long")
 
     def representatives(self) -> DataFrame:
         """(key_a, key_b), the smaller first: pairs of different texts within reach."""
-        texts = self.texts()
-        one = texts.select(F.col("id").alias("a"), F.col("key").alias("key_a"), F.col("text").alias("text_a"))
-        two = texts.select(F.col("id").alias("b"), F.col("key").alias("key_b"), F.col("text").alias("text_b"))
-        pairs = self.candidates().join(one, "a").join(two, "b").select("key_a", "key_b", "text_a", "text_b")
+        known, letters = self.texts()
+        side = lambda i, key, h: known.select(F.col("id").alias(i), F.col("key").alias(key), F.col("h").alias(h))
+        text = lambda h, name: letters.select(F.col("h").alias(h), F.col("text").alias(name))
+        pairs = self.candidates().join(side("a", "key_a", "h_a"), "a").join(side("b", "key_b", "h_b"), "b")
+        pairs = pairs.join(text("h_a", "text_a"), "h_a").join(text("h_b", "text_b"), "h_b").select("key_a", "key_b", "text_a", "text_b")
         found = pairs.mapInPandas(_verify, "key_a string, key_b string")
         return found.select(F.least("key_a", "key_b").alias("key_a"), F.greatest("key_a", "key_b").alias("key_b"))
 
