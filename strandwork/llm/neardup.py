@@ -1,37 +1,47 @@
 """Near-duplicate sequences with small edits and moved blocks.
 
-Signatures are bit sets of the words of a sequence, of 6 letters or, where these
-no longer tell long sequences apart, of 7 or 8. One edit changes at most 2 * 6
-bits, so bit counts of an exclusive-or bound the edits from below and pairs
-beyond the radius are skipped exactly; an alignment decides the rest.
-
-All sequences are sorted by length and cut into tiles, and every pair of tiles
-whose lengths lie within the radius is compared: no pair is left to chance, and
-the work grows with the square of the collection. The bits that a tile has in
-common with another are one product of matrices.
-
-Equal texts are one entry: duplicates are dropped on the map side before every
-shuffle and led back to their representative at the end. Texts are known by
-128 bits of their hash, and numbered once.
+All texts are sorted by length and cut into tiles, and every pair of tiles whose
+lengths lie within the radius is compared. The longer text of a pair is cut into
+disjoint pieces; an edit destroys one of them at most and a moved block three, so
+a pair within reach has at least so many pieces in common as are left. An index
+of the pieces of a tile counts them for all texts of another, which rejects
+exactly. Where texts are too short for pieces, and for what the pieces leave,
+signatures do the same: bit sets of the words of 6 letters or, where these no
+longer tell long sequences apart, of 7 or 8. One edit changes at most 2 * 6 bits,
+so bit counts of an exclusive-or bound the edits from below. An alignment decides
+the rest. No pair is left to chance; the work still grows with the square of the
+collection, at a few nanoseconds a pair.
+
+A task compares a pair of tiles, which it reads from the shared folder, so no
+text is written more than twice: once to drop equal texts and once in its tile.
+Equal texts are one entry and are led back to their representative at the end.
+Texts are known by 128 bits of their hash.
 """
 
 from __future__ import annotations
 
+import math
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ids import number_rows
-from ..session import materialise
+from ..session import location, materialise
 
 EDITS = 0.08  # edits per letter of the longer text
 WORD = 6
-TILE = 8192  # texts in a tile
+TILE = 32768  # texts in a tile
+CLASS = 16384  # texts of similar lengths that share an index, about
+COUNTS = 2**17  # counts of common pieces held at once
+MOST_TASKS = 4096  # tasks that compare tiles
+HITS = 2**19  # common pieces looked at at once
 LETTERS_UP_TO = ((1200, 6), (3500, 7))  # longest text that words of so many letters tell apart; 8 beyond
 CELLS = 2**23  # signature bits held at once
 MOVES = 8  # moved blocks that the radius allows for
@@ -41,17 +51,17 @@ PURE = np.zeros(256, bool)
 PURE[list(b"ACGT")] = True
 
 
-def _words(codes: np.ndarray, k: int) -> np.ndarray:
+def _words(codes: np.ndarray, k: int, kind: type = np.uint64) -> np.ndarray:
     """2-bit codes of all k-letter words, by doubling; word i starts at letter i."""
     out, have, size = None, 0, 1
-    power = codes.astype(np.uint64)
+    power = codes.astype(kind)
     while True:
         if k & size:
-            out = power if out is None else (out[: len(power) - have] << np.uint64(2 * size)) | power[have : have + len(out)][: len(power) - have]
+            out = power if out is None else (out[: len(power) - have] << kind(2 * size)) | power[have : have + len(out)][: len(power) - have]
             have += size
         if have == k:
             return out[: max(0, len(codes) - k + 1)]
-        power = (power[: max(0, len(power) - size)] << np.uint64(2 * size)) | power[size:]
+        power = (power[: max(0, len(power) - size)] << kind(2 * size)) | power[size:]
         size *= 2
 
 
@@ -139,8 +149,8 @@ def _unpack(p: bytes) -> bytes:
     return t[: len(t) - (4 - over)] if over else t
 
 
-def edit_distance(a: bytes, b: bytes) -> int:
-    """Levenshtein distance by bit vectors held in integers."""
+def edit_distance(a: bytes, b: bytes, most: int | None = None) -> int:
+    """Levenshtein distance by bit vectors held in integers, or a number above most where it is above."""
     if not a or not b:
         return len(a) + len(b)
     peq: dict[int, int] = {}
@@ -148,11 +158,13 @@ def edit_distance(a: bytes, b: bytes) -> int:
         peq[c] = peq.get(c, 0) | 1 << i
     m, top, mask = len(a), 1 << (len(a) - 1), (1 << len(a)) - 1
     up, down, score = mask, 0, m
-    for c in b:
+    for left, c in zip(range(len(b) - 1, -1, -1), b):
         eq = peq.get(c, 0)
         diag = ((eq & up) + up ^ up) | eq | down
         plus, minus = down | ~(diag | up), up & diag
         score += bool(plus & top) - bool(minus & top)
+        if most is not None and score - left > most:
+            return score - left
         plus, minus = plus << 1 | 1, minus << 1
         up, down = (minus | ~(diag | plus)) & mask, plus & diag & mask
     return score
@@ -342,57 +354,262 @@ def _without(text: bytes, low: int, high: int, gone: list[tuple[int, int]]) -> b
     return b"".join(out) + text[low:high]
 
 
-def within_reach(a: bytes, b: bytes) -> bool:
+def within_reach(a: bytes, b: bytes, near: bool = False) -> bool:
+    """near: the signatures are known to lie within the radius."""
     most = int(EDITS * max(len(a), len(b)) + 1e-9)
     if abs(len(a) - len(b)) > most:
         return False
     if len(a) == len(b) and np.count_nonzero(np.frombuffer(a, np.uint8) != np.frombuffer(b, np.uint8)) <= most:
         return True
-    one, two = signatures([a, b])
-    if np.bitwise_count(one ^ two).sum() > radius(np.array([max(len(a), len(b))]))[0]:
-        return False
-    return any(moved_distance(x, y, most, loose, anchor) <= most for anchor in (ANCHOR, 8) for loose in (False, True) for x, y in ((a, b), (b, a))) or edit_distance(a, b) <= most or parse_distance(a, b, most) <= most or parse_distance(b, a, most) <= most
+    if not near:
+        one, two = signatures([a, b])
+        if np.bitwise_count(one ^ two).sum() > radius(np.array([max(len(a), len(b))]))[0]:
+            return False
+    return _reached(a, b, most)
 
 
-def _verify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Pairs whose signatures differ within the radius and whose texts are within reach."""
-    for f in frames:
-        texts = pd.concat([f.text_a, f.text_b])
-        number, unique = pd.factorize(texts)
-        raw = [_unpack(bytes(x)) for x in unique]
-        bits, size = signatures(raw), np.array([len(x) for x in raw])
-        count = np.bitwise_count(bits).sum(1).astype(np.int64)
-        i, j = number[: len(f)], number[len(f) :]
-        most = radius(np.maximum(size[i], size[j]))
-        near = (np.abs(count[i] - count[j]) <= most) & _in_reach(size[i], size[j])
-        at = np.flatnonzero(near)
-        if len(at):
-            far = np.bitwise_count(bits[i[at]] ^ bits[j[at]]).sum(1)
-            at = at[far <= most[at]]
-        at = [x for x in at.tolist() if within_reach(raw[i[x]], raw[j[x]])]
-        yield f.iloc[at][["key_a", "key_b"]]
-
-
-def _by_length(f: pd.DataFrame) -> tuple[list[bytes], np.ndarray]:
-    texts = [_unpack(bytes(p)) for p in f.text]
-    order = np.argsort([len(t) for t in texts], kind="stable")
-    return [texts[i] for i in order], f.id.to_numpy()[order]
-
-
-def _compare_tiles(f: pd.DataFrame) -> pd.DataFrame:
-    """One pair of tiles."""
-    f = f.drop_duplicates(["side", "id"])
-    left, right = f[f.side == 0], f[f.side == 1]
-    same = bool((f.t1 == f.t2).iloc[0]) if len(f) else True
-    right = left if same else right
-    out = []
-    if len(left) and len(right):
-        (x, a), (y, b) = (_by_length(s) for s in (left, right))
-        for i, j in _near_cells(x, y, same):
-            one, two = a[i], b[j]
-            differ = one != two
-            out.append(pd.DataFrame({"a": np.minimum(one, two)[differ], "b": np.maximum(one, two)[differ]}))
-    return pd.concat(out).drop_duplicates() if out else pd.DataFrame({"a": [], "b": []}).astype("int64")
+def greedy_distance(a: bytes, b: bytes, most: int) -> int:
+    """Upper bound of the edits from a to b without moved blocks: after a difference the nearest places from which letters agree again.
+
+    Gives up with more than ``most`` where there are none near.
+    """
+    i = j = cost = 0
+    while cost <= most:
+        size = 64
+        while size:
+            if max(i + size - len(a), j + size - len(b)) <= 0 and a[i : i + size] == b[j : j + size]:
+                i, j = i + size, j + size
+            else:
+                size //= 2
+        rest = max(len(a) - i, len(b) - j)
+        if rest <= AGREE:
+            return cost + rest
+        for e, x, y in RESUME:
+            if a[i + x : i + x + AGREE] == b[j + y : j + y + AGREE]:
+                i, j, cost = i + x, j + y, cost + e
+                break
+        else:
+            return cost + rest
+    return cost
+
+
+AGREE = 8
+RESUME = [(e, x, y) for e in range(1, 7) for x, y in [(e, e)] + [p for k in range(e - 1, -1, -1) for p in ((e, k), (k, e))]]
+
+
+def breaks(a: bytes, b: bytes) -> int:
+    """Fewest places at which b, read as pieces from anywhere in a, breaks: a letter replaced or inserted or a jump.
+
+    An edit makes one break at most and a moved block three, so it is a lower
+    bound for ``damage``. Places of a at the lowest number of breaks are bits of
+    an integer; all others take one more, by a jump.
+    """
+    where: dict[int, int] = {}
+    for i, c in enumerate(a):
+        where[c] = where.get(c, 0) | 2 << i
+    every = (2 << len(a)) - 1
+    at, count = every, 0
+    for c in b:
+        after = where.get(c, 0)
+        on = at << 1 & after
+        if not on:
+            count += 1
+            on = (at << 1 | at | after) & every
+        at = on
+    return count
+
+
+def _reached(a: bytes, b: bytes, most: int) -> bool:
+    """Whether one of the upper bounds is within reach, the cheapest first."""
+    if greedy_distance(a, b, most) <= most:
+        return True
+    least = damage(max(len(a), len(b)))
+    if breaks(a, b) > least or breaks(b, a) > least:
+        return False
+    return any(moved_distance(x, y, most, loose, anchor) <= most for anchor in (ANCHOR, 8) for loose in (False, True) for x, y in ((a, b), (b, a))) or edit_distance(a, b, most) <= most or parse_distance(a, b, most) <= most or parse_distance(b, a, most) <= most
+
+
+def damage(n: int) -> int:
+    """Most disjoint pieces of a text of n letters, the longer of two, that edits within reach can destroy: each one, a moved block three."""
+    most = int(EDITS * n + 1e-9)
+    return most + 2 * min(most, MOVES)
+
+
+@cache
+def _price(n: int, k: int) -> float:
+    """Nanoseconds, about, to reject a text of n letters by pieces of k letters, or by signatures where k is 0."""
+    if k == 0:
+        return 120
+    pieces = n // k
+    need = pieces - damage(n)
+    if need < 1:
+        return math.inf
+    chance = pieces * min(1, n / 4**k)  # pieces that texts have in common by chance
+    below = sum(math.exp(i * math.log(chance) - chance - math.lgamma(i + 1)) for i in range(need))
+    return 9 * chance + 150 * max(0.0, 1 - below)
+
+
+@cache
+def piece(n: int) -> int:
+    """Letters of the pieces that reject texts of n letters at the lowest price."""
+    return min((0, *range(5, 12)), key=lambda k: _price(n, k))
+
+
+class Tile:
+    """Texts sorted by length, as codes of their letters; text i starts at letter start[i]."""
+
+    def __init__(self, keys: pa.Array, n: np.ndarray, texts: pa.Array):
+        order = np.argsort(n, kind="stable")
+        self.keys, self.n, texts = keys.take(pa.array(order)).to_pylist(), n[order], texts.take(pa.array(order))
+        at, data = np.frombuffer(texts.buffers()[1], np.int32)[: len(texts) + 1].astype(np.int64), np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+        self.start = 4 * (at[:-1] + 1)
+        self.other = {int(i): data[at[i] + 1 : at[i + 1]].tobytes() for i in np.flatnonzero(data[at[:-1]] == 1)}
+        codes, size = [np.stack([data >> 6, data >> 4 & 3, data >> 2 & 3, data & 3], 1).ravel()], 4 * len(data)
+        for i, t in self.other.items():
+            self.start[i] = size
+            size += len(t)
+            codes.append(CODE[np.frombuffer(t, np.uint8)])
+        self.codes = np.concatenate(codes)
+        self.bits, self.known = np.zeros((len(n), 4**WORD // 64), np.uint64), np.zeros(len(n), bool)
+
+    def text(self, i: int) -> bytes:
+        return self.other[i] if i in self.other else LETTERS[self.codes[self.start[i] : self.start[i] + self.n[i]]].tobytes()
+
+    def words(self, which: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """(row of which, word) of all words of k letters."""
+        n = self.n[which].astype(np.int64)
+        row = np.repeat(np.arange(len(which)), n)
+        codes = self.codes[np.repeat(self.start[which] - (np.cumsum(n) - n), n) + np.arange(len(row))]
+        w = _words(codes, k, np.uint32) if len(codes) >= k else np.zeros(0, np.uint32)
+        inside = row[: len(w)] == row[len(row) - len(w) :]
+        return row[: len(w)][inside], w[inside].astype(np.int64)
+
+    def signatures(self, which: np.ndarray) -> np.ndarray:
+        new = np.unique(which[~self.known[which]])
+        for q in range(0, len(new), 256):
+            some = new[q : q + 256]
+            flags = np.zeros((len(some), 4**WORD), np.uint8)
+            flags[self.words(some, WORD)] = 1
+            self.bits[some] = np.packbits(flags, axis=1).view(np.uint64)
+        self.known[new] = True
+        return self.bits[which]
+
+    def classes(self) -> Iterator[tuple[int, int, int]]:
+        """(from, to, letters of pieces): neighbours that are indexed together."""
+        lengths, first = np.unique(self.n, return_index=True)
+        low, k = 0, piece(int(lengths[0])) if len(lengths) else 0
+        for n, at in zip(lengths.tolist(), first.tolist()):
+            size = at - low
+            if size and (_price(n, k) > 1.3 * _price(n, piece(n)) + 2 or size >= CLASS or size >= CLASS // 4 and n > 1.05 * self.n[low]):
+                yield low, at, k
+                low = at
+            if low == at:
+                k = piece(n)
+        if len(self.n):
+            yield low, len(self.n), k
+
+
+def _common_pieces(index: Tile, low: int, high: int, k: int, probe: Tile, first: int, last: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(i, j): texts low to high of index and first to last of probe with so many pieces of i in j that they can be within reach."""
+    size, n = high - low, index.n[low:high].astype(np.int64)
+    pieces = n // k
+    text = np.repeat(np.arange(size), pieces)
+    at = index.start[low:high][text] + k * (np.arange(len(text)) - (np.cumsum(pieces) - pieces)[text])
+    word = np.zeros(len(text), np.int64)
+    for letter in range(k):
+        word = word << 2 | index.codes[at + letter]
+    entries = np.sort(word << 32 | text)
+    texts = entries & 0xFFFFFFFF
+    begin = np.zeros(4**k + 1, np.int64)
+    np.cumsum(np.bincount(entries >> 32, minlength=4**k), out=begin[1:])
+    need = pieces - np.array([damage(int(x)) for x in n])
+    step = max(1, COUNTS // size)
+    todo = [(q, min(q + step, last)) for q in range(first, last, step)][::-1]
+    while todo:
+        one, end = todo.pop()
+        row, word = probe.words(np.arange(one, end), k)
+        seen = np.sort(row << 2 * k | word)  # each once, so no pair has more common pieces than pieces
+        seen = seen[np.concatenate([[True], seen[1:] != seen[:-1]])] if len(seen) else seen
+        row, word = seen >> 2 * k, seen & 4**k - 1
+        start = begin[word]
+        hits = begin[word + 1] - start
+        total = int(hits.sum())
+        if total > HITS and end - one > 1:
+            half = (one + end) // 2
+            todo += [(half, end), (one, half)]
+            continue
+        entry = np.repeat(start - (np.cumsum(hits) - hits), hits) + np.arange(total)
+        count = np.bincount(texts[entry] + np.repeat(row * size, hits), minlength=(end - one) * size)
+        j, i = np.divmod(np.flatnonzero(count.reshape(-1, size) >= need), size)
+        yield i + low, j + one
+
+
+def _candidates(index: Tile, probe: Tile) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(i, j): all texts of index and shorter ones of probe, or the ones before them in the same tile, whose lengths, pieces and signatures lie within the radius."""
+    same = index is probe
+    for low, high, k in index.classes():
+        first = int(np.searchsorted(probe.n, index.n[low] * (1 - EDITS) - 1e-6))
+        last = high if same else len(probe.n)
+        if first >= last:
+            continue
+        if k:
+            found = _common_pieces(index, low, high, k, probe, first, last)
+        else:
+            found = _short(index, low, high, probe, first, last)
+        for i, j in found:
+            near = _in_reach(index.n[i], probe.n[j])
+            if same:
+                near &= j < i
+            i, j = i[near], j[near]
+            for q in range(0, len(i), 8192):
+                one, two = i[q : q + 8192], j[q : q + 8192]
+                far = np.bitwise_count(index.signatures(one) ^ probe.signatures(two)).sum(1)
+                near = far <= radius(np.maximum(index.n[one], probe.n[two]))
+                yield one[near], two[near]
+
+
+def _short(index: Tile, low: int, high: int, probe: Tile, first: int, last: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The same for texts too short for pieces."""
+    y = [index.text(i) for i in range(low, high)]
+    if index is probe:
+        for j, i in _near_cells(y, y, True):
+            yield i + low, j + low
+        last = min(last, low)
+    if first < last:
+        for j, i in _near_cells([probe.text(j) for j in range(first, last)], y, False):
+            yield i + low, j + first
+
+
+def _compare(index: Tile, probe: Tile) -> Iterator[pd.DataFrame]:
+    for i, j in _candidates(index, probe):
+        out = []
+        for x, y in zip(i.tolist(), j.tolist()):
+            a, b = index.text(x), probe.text(y)
+            if a != b and within_reach(a, b, True):
+                out.append((index.keys[x], probe.keys[y]))
+        yield pd.DataFrame(out, columns=["key_a", "key_b"], dtype=object)
+
+
+def _read_tile(folder: str, tile: int) -> Tile:
+    files, path = FileSystem.from_uri(folder)
+    t = pq.read_table(f"{path}/tile={tile}", columns=["key", "n", "text"], filesystem=files, partitioning=None).combine_chunks()
+    key, n, text = (t.column(c).combine_chunks() for c in ("key", "n", "text"))
+    return Tile(key, n.to_numpy(), text.cast(pa.binary()))
+
+
+def _compare_tiles(folder: str, work: list[tuple[int, int]]):
+    """Compares the pairs of tiles (longer, shorter) of which it gets the numbers."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, index = None, None
+        for f in frames:
+            for number in f.id.tolist():
+                longer, shorter = work[number]
+                if longer != held:
+                    held, index = longer, _read_tile(folder, longer)
+                yield from _compare(index, index if shorter == longer else _read_tile(folder, shorter))
+
+    return run
 
 
 def _number_tiles(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -401,17 +618,17 @@ def _number_tiles(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for f in frames:
         tile = (seen + np.arange(len(f))) // TILE
         seen += len(f)
-        yield pd.DataFrame({"tile": f.part.to_numpy().astype(np.int64) << 32 | tile, "id": f.id.to_numpy(), "n": f.n.to_numpy(), **({"h": f.h.to_numpy()} if "h" in f else {})})
+        yield f.drop(columns="part").assign(tile=f.part.to_numpy().astype(np.int64) << 32 | tile)
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(h, key, n, text) with the text packed, only once for each that a task meets more than once."""
-    seen: set[str] = set()
+    """(n, h, key, text) with the text packed, only once for each that a task meets more than once."""
+    seen: set[bytes] = set()
     for batch in batches:
         hashes = batch.column(0).to_pylist()
         letters = [t.encode() for t in batch.column(2).to_pylist()]
         texts = [_pack(t) if h not in seen and not seen.add(h) else None for h, t in zip(hashes, letters)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([len(t) for t in letters], pa.int32()), pa.array(texts, pa.binary())], names=["h", "key", "n", "text"])
+        yield pa.RecordBatch.from_arrays([pa.array([len(t) for t in letters], pa.int32()), batch.column(0), batch.column(1), pa.array(texts, pa.binary())], names=["n", "h", "key", "text"])
 
 
 class NearDuplicates:
@@ -424,38 +641,25 @@ class NearDuplicates:
 
     def __init__(self, df: DataFrame, key: str, text: str):
         rows = df.select(F.col(key).cast("string").alias("key"), F.upper(F.col(text)).alias("seq")).filter("key IS NOT NULL AND seq <> ''")
-        self.rows = rows.withColumn("h", F.md5("seq"))
-        self._table: tuple[DataFrame, DataFrame] | None = None
-
-    def texts(self) -> tuple[DataFrame, DataFrame]:
-        """(h, id, key, n): one row per different text, its smallest key and its length; and (h, text), its packed letters, which are written once."""
-        if self._table is None:
-            packed = self.rows.select("h", "key", "seq").mapInArrow(_packed, "h string, key string, n int, text binary")
-            one = packed.groupBy("h").agg(F.min("key").alias("key"), F.first("n").alias("n"), F.max("text").alias("text"))
-            held = materialise(one, "packed")
-            self._table = materialise(number_rows(held.select("h", "key", "n"), "h", name="id"), "texts"), held.select("h", "text")
-        return self._table
-
-    def candidates(self) -> DataFrame:
-        """(a, b): ids of all texts whose lengths and signatures lie within the radius."""
-        known, letters = self.texts()
-        ranges = known.select("id", "n", "h").repartitionByRange("n", "id").sortWithinPartitions("n", "id").select(F.spark_partition_id().alias("part"), "id", "n", "h")
-        tiles = materialise(ranges.mapInPandas(_number_tiles, "tile long, id long, n int, h string"), "tiles")
-        span = tiles.groupBy("tile").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
-        a, b = span.alias("a"), span.alias("b")
-        work = a.join(b, (F.col("a.tile") <= F.col("b.tile")) & (F.col("b.lo") * (1 - EDITS) <= F.col("a.hi") + 1e-6)).select(F.col("a.tile").alias("t1"), F.col("b.tile").alias("t2"))
-        sides = work.select("*", F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("t1").alias("tile")), F.struct(F.lit(1).alias("side"), F.col("t2").alias("tile")))).alias("s")).filter("s.side = 0 OR t1 < t2")
-        members = tiles.select("tile", "id", "h").join(letters, "h").select("tile", "id", "text")
-        return sides.select("t1", "t2", "s.*").join(members, "tile").groupBy("t1", "t2").applyInPandas(_compare_tiles, "a long, b long")
+        self.rows = rows.withColumn("h", F.unhex(F.md5("seq")))
+        self._tiles: DataFrame | None = None
+
+    def tiles(self) -> DataFrame:
+        """(key, n, text, tile): one row per different text, its smallest key, length and packed letters, in tiles sorted by length."""
+        if self._tiles is None:
+            packed = self.rows.select("h", "key", "seq").mapInArrow(_packed, "n int, h binary, key string, text binary")
+            one = packed.repartitionByRange("n", "h").groupBy("n", "h").agg(F.min("key").alias("key"), F.max("text").alias("text"))
+            ranges = one.sortWithinPartitions("n", "h").select(F.spark_partition_id().alias("part"), "key", "n", "text")
+            self._tiles = materialise(ranges.mapInPandas(_number_tiles, "key string, n int, text binary, tile long"), "tiles", by="tile")
+        return self._tiles
 
     def representatives(self) -> DataFrame:
         """(key_a, key_b), the smaller first: pairs of different texts within reach."""
-        known, letters = self.texts()
-        side = lambda i, key, h: known.select(F.col("id").alias(i), F.col("key").alias(key), F.col("h").alias(h))
-        text = lambda h, name: letters.select(F.col("h").alias(h), F.col("text").alias(name))
-        pairs = self.candidates().join(side("a", "key_a", "h_a"), "a").join(side("b", "key_b", "h_b"), "b")
-        pairs = pairs.join(text("h_a", "text_a"), "h_a").join(text("h_b", "text_b"), "h_b").select("key_a", "key_b", "text_a", "text_b")
-        found = pairs.mapInPandas(_verify, "key_a string, key_b string")
+        tiles = self.tiles()
+        spark = tiles.sparkSession
+        span = sorted(map(tuple, tiles.groupBy("tile").agg(F.min("n"), F.max("n")).collect()), reverse=True)
+        work = [(t, u) for x, (t, low, _) in enumerate(span) for u, _, high in span[x:] if high >= low * (1 - EDITS) - 1e-6]
+        found = spark.range(0, len(work), 1, max(1, min(len(work), MOST_TASKS))).mapInPandas(_compare_tiles(location(tiles), work), "key_a string, key_b string")
         return found.select(F.least("key_a", "key_b").alias("key_a"), F.greatest("key_a", "key_b").alias("key_b"))
 
     def copies(self) -> DataFrame:

@@ -67,7 +67,7 @@ def _application_dir(spark: SparkSession) -> str:
 _folders: set[str] = set()
 
 
-def materialise(df: DataFrame, name: str = "t", count: Column | None = None) -> DataFrame:
+def materialise(df: DataFrame, name: str = "t", count: Column | None = None, by: str | None = None) -> DataFrame:
     """Writes df as a table in the shared folder and reads it back.
 
     Unlike ``checkpoint`` the plan runs once, the files are columnar and
@@ -76,11 +76,12 @@ def materialise(df: DataFrame, name: str = "t", count: Column | None = None) ->
     Tables that ``discard`` has not deleted go when the application ends.
     count: a condition; the rows that meet it are counted as they are written,
     without a job of their own, and are found in ``n_counted``.
+    by: a column, the last one, by whose values the rows lie in folders.
     """
     spark = df.sparkSession
     path = f"{_application_dir(spark)}/{name}-{uuid.uuid4().hex}"
     seen = Observation()
-    (df if count is None else df.observe(seen, F.count_if(count).alias("n"))).write.parquet(path)
+    (df if count is None else df.observe(seen, F.count_if(count).alias("n"))).write.parquet(path, partitionBy=by)
     out = spark.read.schema(df.schema).parquet(path)
     out._table_path = path
     if count is not None:
@@ -88,6 +89,13 @@ def materialise(df: DataFrame, name: str = "t", count: Column | None = None) ->
     return out
 
 
+def location(df: DataFrame) -> str:
+    """Address of a materialised table, with its scheme, for readers other than Spark."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df._table_path)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
 def discard(df: DataFrame) -> None:
     """Deletes the files of a materialised table that nothing reads any more."""
     spark = df.sparkSession
