@@ -5,7 +5,8 @@ lengths lie within the radius is compared. The longer text of a pair is cut into
 disjoint pieces; an edit destroys one of them at most and a moved block three, so
 a pair within reach has at least so many pieces in common as are left. An index
 of the pieces of a tile counts them for all texts of another, which rejects
-exactly. Where texts are too short for pieces, and for what the pieces leave,
+exactly. The pieces are the longest of which enough are left, of two lengths.
+Where texts are too short for pieces, and for what the pieces leave,
 signatures do the same: bit sets of the words of 6 letters or, where these no
 longer tell long sequences apart, of 7 or 8. One edit changes at most 2 * 6 bits,
 so bit counts of an exclusive-or bound the edits from below. An alignment decides
@@ -38,10 +39,14 @@ from ..session import location, materialise
 EDITS = 0.08  # edits per letter of the longer text
 WORD = 6
 TILE = 32768  # texts in a tile
-CLASS = 16384  # texts of similar lengths that share an index, about
-COUNTS = 2**17  # counts of common pieces held at once
+CLASS = 32768  # texts of similar lengths that share an index, at most
+CLASS_LETTERS = 2**24  # letters of such texts, about
+PROBES = 64  # texts whose words are looked up together, at most; must fit beside a word of 11 letters in 32 bits
 MOST_TASKS = 4096  # tasks that compare tiles
-HITS = 2**19  # common pieces looked at at once
+HITS = 2**16  # common pieces counted at once, about
+SIGNATURE = 120  # nanoseconds, about, to reject a text by signatures
+HELD = 4096  # pairs decided together, at least
+BREAK_CELLS = 2**13  # words of 64 places held at once where breaks are counted
 LETTERS_UP_TO = ((1200, 6), (3500, 7))  # longest text that words of so many letters tell apart; 8 beyond
 CELLS = 2**23  # signature bits held at once
 MOVES = 8  # moved blocks that the radius allows for
@@ -302,17 +307,20 @@ def parse_distance(a: bytes, b: bytes, most: int, jump: int = 2) -> int:
     ``most`` edits and the jumps of ``MOVES`` moved blocks.
     """
     x, n, m = np.frombuffer(a, np.uint8), len(a), len(b)
-    place = np.arange(n + 1, dtype=np.int32)
-    cost = np.empty((m + 1, n + 1), np.int32)
+    kind = np.int16 if 2 * max(n, m) + 99 < 2**15 else np.int32
+    place = np.arange(n + 1, dtype=kind)
+    cost = np.empty((m + 1, n + 1), kind)
     cost[0] = 0
+    differs_at = {c: (x != c).astype(kind) for c in set(b)}
     best = np.empty(m, np.int64)  # where it is cheapest to jump from
     for j in range(m):
         d = cost[j]
         best[j] = d.argmin()
-        ready = np.minimum(d, d[best[j]] + jump)
-        step = ready + 1
-        np.minimum(step[1:], ready[:-1] + (x != b[j]), out=step[1:])
-        cost[j + 1] = np.minimum.accumulate(step - place) + place
+        ready = np.minimum(d, kind(d[best[j]] + jump))
+        step = ready + kind(1)
+        np.minimum(step[1:], ready[:-1] + differs_at[b[j]], out=step[1:])
+        step -= place
+        np.add(np.minimum.accumulate(step, out=step), place, out=cost[j + 1])
         if j % 64 == 63 and cost[j + 1].min() > most + 3 * jump * MOVES:
             return most + 1
     i, j, spent = int(cost[m].argmin()), m, 0
@@ -365,7 +373,25 @@ def within_reach(a: bytes, b: bytes, near: bool = False) -> bool:
         one, two = signatures([a, b])
         if np.bitwise_count(one ^ two).sum() > radius(np.array([max(len(a), len(b))]))[0]:
             return False
-    return _reached(a, b, most)
+    if greedy_distance(a, b, most) <= most:
+        return True
+    least = damage(max(len(a), len(b)))
+    return breaks(a, b) <= least and breaks(b, a) <= least and _reached(a, b, most)
+
+
+def all_within_reach(pairs: list[tuple[bytes, bytes]]) -> np.ndarray:
+    """within_reach, near, of many pairs whose lengths are in reach; breaks are counted for all of them together."""
+    out = np.zeros(len(pairs), bool)
+    for x, (a, b) in enumerate(pairs):
+        most = int(EDITS * max(len(a), len(b)) + 1e-9)
+        out[x] = len(a) == len(b) and np.count_nonzero(np.frombuffer(a, np.uint8) != np.frombuffer(b, np.uint8)) <= most or greedy_distance(a, b, most) <= most
+    left = np.flatnonzero(~out)
+    for turned in (1, -1):
+        left = left[few_breaks([pairs[x][::turned] for x in left])]
+    for x in left:
+        a, b = pairs[x]
+        out[x] = _reached(a, b, int(EDITS * max(len(a), len(b)) + 1e-9))
+    return out
 
 
 def greedy_distance(a: bytes, b: bytes, most: int) -> int:
@@ -419,13 +445,67 @@ def breaks(a: bytes, b: bytes) -> int:
     return count
 
 
+def few_breaks(pairs: list[tuple[bytes, bytes]]) -> np.ndarray:
+    """Of each pair (a, b), whether ``breaks(a, b)`` is no more than edits within reach can make."""
+    out = np.zeros(len(pairs), bool)
+    order = sorted(range(len(pairs)), key=lambda x: len(pairs[x][0]))
+    while order:
+        wide = len(pairs[order[-1]][0]) // 64 + 1
+        some = order[-max(1, BREAK_CELLS // wide) :]
+        del order[-len(some) :]
+        out[some] = _few_breaks([pairs[x] for x in some], wide)
+    return out
+
+
+def _few_breaks(pairs: list[tuple[bytes, bytes]], wide: int) -> np.ndarray:
+    """The same, with the places of each a as bits of ``wide`` words of 64, a column for each pair.
+
+    Neighbouring places lie in neighbouring words, so going on by a place moves words and shifts only the last.
+    """
+    letters = np.zeros(256, np.int64)
+    kinds = np.flatnonzero(np.bincount(np.frombuffer(b"".join(t for p in pairs for t in p), np.uint8), minlength=256))
+    letters[kinds] = np.arange(len(kinds))
+    size = np.array([len(b) for _, b in pairs])
+    text = np.zeros((len(pairs), -(-size.max() // 32) * 32), np.int64)
+    where = np.zeros((len(pairs), len(kinds), 8 * wide), np.uint8)
+    every = np.zeros((wide, len(pairs)), np.uint64)
+    place = np.arange(64 * wide).reshape(wide, 64).T.ravel()
+    for x, (a, b) in enumerate(pairs):
+        flags = np.zeros((len(kinds) + 1, 64 * wide), np.uint8)
+        flags[letters[np.frombuffer(a, np.uint8)], place[1 : len(a) + 1]] = 1
+        flags[-1, place[: len(a) + 1]] = 1
+        bits = np.packbits(flags, axis=1, bitorder="little")
+        where[x], every[:, x] = bits[:-1], bits[-1].view(np.uint64)
+        text[x, : len(b)] = letters[np.frombuffer(b, np.uint8)]
+    where = where.reshape(-1, 8 * wide).view(np.uint64)
+    least = np.array([damage(max(len(a), len(b))) for a, b in pairs])
+    count, out, left = np.zeros(len(pairs), np.int64), np.zeros(len(pairs), bool), np.arange(len(pairs))
+    at = every.copy()
+    for q in range(0, text.shape[1], 32):
+        some = where[(len(kinds) * left[:, None] + text[left, q : q + 32]).T]  # letter of b, pair, word
+        some = np.ascontiguousarray(some.transpose(0, 2, 1))
+        moved, on = np.empty_like(at), np.empty_like(at)
+        for j, after in enumerate(some, q):
+            np.add(at[-1], at[-1], out=moved[0])
+            moved[1:] = at[:-1]
+            np.bitwise_and(moved, after, out=on)
+            broken = np.bitwise_or.reduce(on, axis=0) == 0
+            moved |= at
+            moved |= after
+            moved &= every & (np.uint64(0) - broken.astype(np.uint64))
+            np.bitwise_or(on, moved, out=at)
+            count += broken & (size > j)
+        ended = size <= q + 32
+        out[left[ended & (count <= least)]] = True
+        stay = ~ended & (count <= least)
+        left, count, least, size, at, every = left[stay], count[stay], least[stay], size[stay], np.ascontiguousarray(at[:, stay]), np.ascontiguousarray(every[:, stay])
+        if not len(left):
+            break
+    return out
+
+
 def _reached(a: bytes, b: bytes, most: int) -> bool:
-    """Whether one of the upper bounds is within reach, the cheapest first."""
-    if greedy_distance(a, b, most) <= most:
-        return True
-    least = damage(max(len(a), len(b)))
-    if breaks(a, b) > least or breaks(b, a) > least:
-        return False
+    """Whether one of the dearer upper bounds is within reach, the cheapest first."""
     return any(moved_distance(x, y, most, loose, anchor) <= most for anchor in (ANCHOR, 8) for loose in (False, True) for x, y in ((a, b), (b, a))) or edit_distance(a, b, most) <= most or parse_distance(a, b, most) <= most or parse_distance(b, a, most) <= most
 
 
@@ -436,22 +516,32 @@ def damage(n: int) -> int:
 
 
 @cache
+def _cut(n: int, k: int) -> tuple[float, int, int, int]:
+    """(nanoseconds, about, pieces of k letters, pieces of k - 1 letters, pieces in common at least): the cheapest way to reject a text of n letters by disjoint pieces.
+
+    With more pieces more must be left, but the pieces are shorter: the fewest
+    that leave enough to tell texts apart are best, not the most of one length.
+    """
+    best = (math.inf, 0, 0, 0)
+    for need in range(1, n):
+        pieces = damage(n) + need
+        long = min(pieces, n - pieces * (k - 1))
+        chance = (long + 4 * (pieces - long)) * min(1, n / 4**k)  # pieces that texts have in common by chance
+        if long < 0 or 9 * chance >= min(best[0], SIGNATURE):
+            break
+        below = sum(math.exp(i * math.log(chance) - chance - math.lgamma(i + 1)) for i in range(need))
+        best = min(best, (9 * chance + 150 * max(0.0, 1 - below), long, pieces - long, need))
+    return best
+
+
 def _price(n: int, k: int) -> float:
-    """Nanoseconds, about, to reject a text of n letters by pieces of k letters, or by signatures where k is 0."""
-    if k == 0:
-        return 120
-    pieces = n // k
-    need = pieces - damage(n)
-    if need < 1:
-        return math.inf
-    chance = pieces * min(1, n / 4**k)  # pieces that texts have in common by chance
-    below = sum(math.exp(i * math.log(chance) - chance - math.lgamma(i + 1)) for i in range(need))
-    return 9 * chance + 150 * max(0.0, 1 - below)
+    """Nanoseconds, about, to reject a text of n letters by pieces of k and k - 1 letters, or by signatures where k is 0."""
+    return _cut(n, k)[0] if k else SIGNATURE
 
 
 @cache
 def piece(n: int) -> int:
-    """Letters of the pieces that reject texts of n letters at the lowest price."""
+    """Letters of the longer pieces that reject texts of n letters at the lowest price."""
     return min((0, *range(5, 12)), key=lambda k: _price(n, k))
 
 
@@ -475,14 +565,23 @@ class Tile:
     def text(self, i: int) -> bytes:
         return self.other[i] if i in self.other else LETTERS[self.codes[self.start[i] : self.start[i] + self.n[i]]].tobytes()
 
-    def words(self, which: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(row of which, word) of all words of k letters."""
-        n = self.n[which].astype(np.int64)
-        row = np.repeat(np.arange(len(which)), n)
-        codes = self.codes[np.repeat(self.start[which] - (np.cumsum(n) - n), n) + np.arange(len(row))]
+    def words(self, which: np.ndarray, k: int, over: int = 0) -> tuple[np.ndarray, np.ndarray]:
+        """(row of which, word) of all words of k letters, also of those that reach ``over`` letters beyond their text, where any letters stand."""
+        n = self.n[which]
+        codes = np.concatenate([*(self.codes[s : s + m] for s, m in zip(self.start[which].tolist(), n.tolist())), np.zeros(over, np.uint8)])
+        row = np.repeat(np.arange(len(which), dtype=np.uint32), n)
         w = _words(codes, k, np.uint32) if len(codes) >= k else np.zeros(0, np.uint32)
         inside = row[: len(w)] == row[len(row) - len(w) :]
-        return row[: len(w)][inside], w[inside].astype(np.int64)
+        return row[: len(w)][inside], w[inside]
+
+    def different_words(self, first: int, last: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """(row, word), by words, of the different words of k letters of texts first to last, up to PROBES; the last word of a text has any letter added."""
+        row, word = self.words(np.arange(first, last), k, 1)
+        seen = word * np.uint32(PROBES) + row
+        seen.sort()
+        if len(seen):
+            seen = seen[np.concatenate([[True], seen[1:] != seen[:-1]])]
+        return (seen % np.uint32(PROBES)).astype(np.int32), (seen // np.uint32(PROBES)).astype(np.int64)
 
     def signatures(self, which: np.ndarray) -> np.ndarray:
         new = np.unique(which[~self.known[which]])
@@ -500,7 +599,7 @@ class Tile:
         low, k = 0, piece(int(lengths[0])) if len(lengths) else 0
         for n, at in zip(lengths.tolist(), first.tolist()):
             size = at - low
-            if size and (_price(n, k) > 1.3 * _price(n, piece(n)) + 2 or size >= CLASS or size >= CLASS // 4 and n > 1.05 * self.n[low]):
+            if size and (_price(n, k) > 1.3 * _price(n, piece(n)) + 0.5 or size >= CLASS or k and size * n >= CLASS_LETTERS or not k and size >= CLASS // 8 and n > 1.05 * self.n[low]):
                 yield low, at, k
                 low = at
             if low == at:
@@ -509,39 +608,77 @@ class Tile:
             yield low, len(self.n), k
 
 
+class _Pieces:
+    """Index of the pieces of texts low to high of a tile, open for the texts of a range that moves on.
+
+    A piece of k - 1 letters is entered with each letter that can follow it.
+    """
+
+    def __init__(self, tile: Tile, low: int, high: int, k: int):
+        n = tile.n[low:high].astype(np.int64)
+        lengths, which = np.unique(n, return_inverse=True)
+        _, long, short, need = (np.array(x)[which] for x in zip(*(_cut(int(m), k) for m in lengths)))
+        pieces = long + short
+        text = np.repeat(np.arange(high - low, dtype=np.int32), pieces)
+        number = np.arange(len(text), dtype=np.int32) - np.repeat((np.cumsum(pieces) - pieces).astype(np.int32), pieces)
+        beyond = number - np.repeat(long.astype(np.int32), pieces)  # those of k - 1 letters come last
+        at = np.repeat(tile.start[low:high], pieces) + k * number - np.maximum(beyond, 0)
+        word = np.zeros(len(text), np.int32)
+        for letter in range(k - 1):
+            word = word << 2 | tile.codes[at + letter]
+        times = np.where(beyond < 0, 1, 4)
+        word = word << 2 | np.where(beyond < 0, tile.codes[np.minimum(at + k - 1, len(tile.codes) - 1)], 0)
+        self.ends = np.concatenate([[0], np.cumsum(long + 4 * short)])
+        first = (np.cumsum(times) - times).astype(np.int32)
+        self.words = np.repeat(word - first, times)
+        self.words += np.arange(len(self.words), dtype=np.int32)
+        entries = self.words.astype(np.int64)
+        entries <<= 32
+        entries |= np.repeat(text, times)
+        entries.sort()
+        self.texts = entries.astype(np.int32)  # the lower half
+        self.begin = np.zeros(4**k, np.int32)
+        np.cumsum(np.bincount(self.words, minlength=4**k)[:-1], out=self.begin[1:])
+        self.stop, self.first, self.last, self.need = self.begin.copy(), 0, 0, need
+
+    def move(self, first: int, last: int) -> None:
+        """Texts first to last of the index, or more, count from here on; first may not fall."""
+        last = max(last, self.last)
+        np.add.at(self.begin, self.words[self.ends[self.first] : self.ends[first]], np.int32(1))
+        np.add.at(self.stop, self.words[self.ends[self.last] : self.ends[last]], np.int32(1))
+        self.first, self.last = first, last
+
+
 def _common_pieces(index: Tile, low: int, high: int, k: int, probe: Tile, first: int, last: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(i, j): texts low to high of index and first to last of probe with so many pieces of i in j that they can be within reach."""
-    size, n = high - low, index.n[low:high].astype(np.int64)
-    pieces = n // k
-    text = np.repeat(np.arange(size), pieces)
-    at = index.start[low:high][text] + k * (np.arange(len(text)) - (np.cumsum(pieces) - pieces)[text])
-    word = np.zeros(len(text), np.int64)
-    for letter in range(k):
-        word = word << 2 | index.codes[at + letter]
-    entries = np.sort(word << 32 | text)
-    texts = entries & 0xFFFFFFFF
-    begin = np.zeros(4**k + 1, np.int64)
-    np.cumsum(np.bincount(entries >> 32, minlength=4**k), out=begin[1:])
-    need = pieces - np.array([damage(int(x)) for x in n])
-    step = max(1, COUNTS // size)
-    todo = [(q, min(q + step, last)) for q in range(first, last, step)][::-1]
-    while todo:
-        one, end = todo.pop()
-        row, word = probe.words(np.arange(one, end), k)
-        seen = np.sort(row << 2 * k | word)  # each once, so no pair has more common pieces than pieces
-        seen = seen[np.concatenate([[True], seen[1:] != seen[:-1]])] if len(seen) else seen
-        row, word = seen >> 2 * k, seen & 4**k - 1
-        start = begin[word]
-        hits = begin[word + 1] - start
-        total = int(hits.sum())
-        if total > HITS and end - one > 1:
-            half = (one + end) // 2
-            todo += [(half, end), (one, half)]
-            continue
-        entry = np.repeat(start - (np.cumsum(hits) - hits), hits) + np.arange(total)
-        count = np.bincount(texts[entry] + np.repeat(row * size, hits), minlength=(end - one) * size)
-        j, i = np.divmod(np.flatnonzero(count.reshape(-1, size) >= need), size)
-        yield i + low, j + one
+    """(i, j): texts low to high of index and first to last of probe, whose lengths are in reach, with so many pieces of i in j that they can be within reach."""
+    size, n = high - low, index.n[low:high]
+    pieces = _Pieces(index, low, high, k)
+    least, numbers, one, step = int(pieces.need.min()), np.arange(4 * HITS), first, PROBES // 4
+    while one < last:
+        end = min(one + step, last)
+        top = int(np.searchsorted(n, probe.n[end - 1] / (1 - EDITS) + 1e-6, side="right"))
+        pieces.move(max(0, min(one - low, top)) if index is probe else 0, top)
+        row, word = probe.different_words(one, end, k)
+        start = pieces.begin.take(word, mode="clip").astype(np.int64)
+        hits = pieces.stop.take(word, mode="clip") - start
+        past = np.cumsum(hits)
+        total = int(past[-1]) if len(past) else 0
+        step = max(1, min(PROBES, (end - one) * HITS // max(1, total)))
+        if total > len(numbers):
+            if end - one > 1:
+                continue
+            numbers = np.arange(total)
+        if total >= least:
+            entry = np.repeat(start - (past - hits), hits)
+            entry += numbers[:total]
+            both = pieces.texts.take(entry, mode="clip")
+            both += np.repeat(row * np.int32(size), hits)
+            both.sort()
+            found, count = np.unique(both[np.flatnonzero(both[least - 1 :] == both[: total - least + 1])], return_counts=True)
+            j, i = np.divmod(found, size)
+            enough = count + least - 1 >= pieces.need[i]
+            yield i[enough].astype(np.int64) + low, j[enough].astype(np.int64) + one
+        one = end
 
 
 def _candidates(index: Tile, probe: Tile) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -581,13 +718,20 @@ def _short(index: Tile, low: int, high: int, probe: Tile, first: int, last: int)
 
 
 def _compare(index: Tile, probe: Tile) -> Iterator[pd.DataFrame]:
+    held: list[tuple[int, int]] = []
+
+    def decided() -> pd.DataFrame:
+        reached = all_within_reach([(index.text(x), probe.text(y)) for x, y in held])
+        out = pd.DataFrame([(index.keys[x], probe.keys[y]) for (x, y), r in zip(held, reached) if r], columns=["key_a", "key_b"], dtype=object)
+        held.clear()
+        return out
+
     for i, j in _candidates(index, probe):
-        out = []
-        for x, y in zip(i.tolist(), j.tolist()):
-            a, b = index.text(x), probe.text(y)
-            if a != b and within_reach(a, b, True):
-                out.append((index.keys[x], probe.keys[y]))
-        yield pd.DataFrame(out, columns=["key_a", "key_b"], dtype=object)
+        held += zip(i.tolist(), j.tolist())
+        if len(held) >= HELD:
+            yield decided()
+    if held:
+        yield decided()
 
 
 def _read_tile(folder: str, tile: int) -> Tile:
@@ -613,22 +757,36 @@ def _compare_tiles(folder: str, work: list[tuple[int, int]]):
 
 
 def _number_tiles(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows of a range of lengths, sorted: the tile of each."""
-    seen = 0
+    """Rows of ranges of lengths, sorted: the tile of each."""
+    last, seen = -1, 0
     for f in frames:
-        tile = (seen + np.arange(len(f))) // TILE
-        seen += len(f)
-        yield f.drop(columns="part").assign(tile=f.part.to_numpy().astype(np.int64) << 32 | tile)
+        part = f.part.to_numpy().astype(np.int64)
+        begins = np.flatnonzero(np.diff(part, prepend=-1))
+        place = np.arange(len(f)) - np.repeat(begins, np.diff(begins, append=len(f)))
+        if len(f):
+            place[part == last] += seen
+            last, seen = part[-1], place[-1] + 1
+        yield f.drop(columns="part").assign(tile=part << 32 | place // TILE)
+
+
+def _packed(lengths: np.ndarray, counts: np.ndarray, parts: int):
+    """Cuts the texts, by length and hash, into so many parts of about the same number, given how many there are of each length."""
+    below = np.cumsum(counts) - counts
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(part, n, h, key, text) with the text packed, only once for each that a task meets more than once."""
+        seen: set[bytes] = set()
+        for batch in batches:
+            hashes = batch.column(0).to_pylist()
+            letters = [t.encode() for t in batch.column(2).to_pylist()]
+            texts = [_pack(t) if h not in seen and not seen.add(h) else None for h, t in zip(hashes, letters)]
+            n = np.array([len(t) for t in letters], np.int32)
+            at = np.minimum(np.searchsorted(lengths, n), len(lengths) - 1)
+            place = below[at] + counts[at] * (np.frombuffer(b"".join(h[:4] for h in hashes), ">u4") / 2**32)
+            part = np.minimum(place * parts / counts.sum(), parts - 1).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(n), batch.column(0), batch.column(1), pa.array(texts, pa.binary())], names=["part", "n", "h", "key", "text"])
 
-
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(n, h, key, text) with the text packed, only once for each that a task meets more than once."""
-    seen: set[bytes] = set()
-    for batch in batches:
-        hashes = batch.column(0).to_pylist()
-        letters = [t.encode() for t in batch.column(2).to_pylist()]
-        texts = [_pack(t) if h not in seen and not seen.add(h) else None for h, t in zip(hashes, letters)]
-        yield pa.RecordBatch.from_arrays([pa.array([len(t) for t in letters], pa.int32()), batch.column(0), batch.column(1), pa.array(texts, pa.binary())], names=["n", "h", "key", "text"])
+    return run
 
 
 class NearDuplicates:
@@ -647,9 +805,14 @@ class NearDuplicates:
     def tiles(self) -> DataFrame:
         """(key, n, text, tile): one row per different text, its smallest key, length and packed letters, in tiles sorted by length."""
         if self._tiles is None:
-            packed = self.rows.select("h", "key", "seq").mapInArrow(_packed, "n int, h binary, key string, text binary")
-            one = packed.repartitionByRange("n", "h").groupBy("n", "h").agg(F.min("key").alias("key"), F.max("text").alias("text"))
-            ranges = one.sortWithinPartitions("n", "h").select(F.spark_partition_id().alias("part"), "key", "n", "text")
+            # the range of a text follows from the numbers of each length; a range partitioning would pack all texts once more for its sample
+            spark = self.rows.sparkSession
+            lengths = sorted(map(tuple, self.rows.groupBy(F.octet_length("seq")).count().collect())) or [(1, 1)]
+            n, counts = (np.array(x, np.int64) for x in zip(*lengths))
+            parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(1.1 * counts.sum() / TILE) + 1)
+            packed = self.rows.select("h", "key", "seq").mapInArrow(_packed(n, counts, parts), "part int, n int, h binary, key string, text binary")
+            one = packed.repartition("part").groupBy("part", "n", "h").agg(F.min("key").alias("key"), F.max("text").alias("text"))
+            ranges = one.select("part", "key", "n", "text", "h").sortWithinPartitions("part", "n", "h").drop("h")
             self._tiles = materialise(ranges.mapInPandas(_number_tiles, "key string, n int, text binary, tile long"), "tiles", by="tile")
         return self._tiles
 

@@ -547,3 +547,43 @@ def test_sentences_of_odd_texts(spark):
 def test_units():
     text = "Head\n\nA line\ngoes on.\n- one\n- two\n\n1. x\n2. y\nday\n7. not an item"
     assert [text[s:e] for s, e, _ in units(text)] == ["Head", "A line\ngoes on.", "- one", "- two", "1. x", "2. y\nday\n7. not an item"]
+
+
+def test_pieces_of_two_lengths_meet_few_texts_by_chance():
+    """No more pieces are cut than must be, so they are as long as can be."""
+    for n in range(230, 2300, 7):
+        k = neardup.piece(n)
+        price, long, short, need = neardup._cut(n, k)
+        assert long + short == neardup.damage(n) + need and long * k + short * (k - 1) <= n and price == neardup._price(n, k)
+    assert neardup._price(534, neardup.piece(534)) < 2.5 and neardup._price(900, neardup.piece(900)) < 1.2
+
+
+def test_breaks_of_many_pairs_are_counted_together(monkeypatch):
+    rng = random.Random(24)
+    pairs = []
+    for i in range(160):
+        s = "".join(rng.choices("ACGTN" if i % 5 == 0 else "ACGT", k=rng.choice([1, 31, 63, 64, 65, 128, rng.randrange(100, 900)])))
+        t = edited(rng, s, int(len(s) * rng.choice([0, 0.09, 0.2, 0.3, 0.4])))
+        pairs.append((s.encode(), (t[60:100] + t[:60] + t[100:] or "A").encode()))
+    want = [neardup.breaks(a, b) <= neardup.damage(max(len(a), len(b))) for a, b in pairs]
+    assert 20 < sum(want) < 150
+    for cells in (1, 64, 2**13):
+        monkeypatch.setattr(neardup, "BREAK_CELLS", cells)
+        assert neardup.few_breaks(pairs).tolist() == want
+    pairs = [(a, b) for a, b in pairs if abs(len(a) - len(b)) <= int(EDITS * max(len(a), len(b)))][:60]
+    assert neardup.all_within_reach(pairs).tolist() == [within_reach(a, b, True) for a, b in pairs]
+
+
+def test_texts_are_packed_once(spark, monkeypatch):
+    """The ranges of lengths need no sample of packed texts; equal texts share a tile, and no tile spans two ranges."""
+    texts = collection(random.Random(25), 60)
+    df = spark.createDataFrame([*texts.items(), *((f"z{k}", s) for k, s in texts.items())], "key string, seq string")
+    plans, materialise = [], neardup.materialise
+    monkeypatch.setattr(neardup, "materialise", lambda df, *a, **k: plans.append(df._jdf.queryExecution().executedPlan().toString()) or materialise(df, *a, **k))
+    tiles = NearDuplicates(df, "key", "seq").tiles()
+    assert len(plans) == 1 and "rangepartitioning" not in plans[0] and tiles.count() == len(set(texts.values()))
+    spans = sorted((r.low, r.high) for r in tiles.groupBy("tile").agg({"n": "min"}).withColumnRenamed("min(n)", "low").join(tiles.groupBy("tile").agg({"n": "max"}).withColumnRenamed("max(n)", "high"), "tile").collect())
+    assert len(spans) > 1 and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+    monkeypatch.setattr(neardup, "TILE", 5)
+    out = pd.concat(neardup._number_tiles(iter([pd.DataFrame({"part": [1] * 7, "id": range(7)}), pd.DataFrame({"part": [1, 1, 4, 4], "id": range(4)})])))
+    assert out.tile.tolist() == [1 << 32] * 5 + [(1 << 32) + 1] * 4 + [4 << 32] * 2
